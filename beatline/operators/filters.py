@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Hex digits of the md5 prefix used as a uniform number in [0, 1).
 _HASH_DIGITS = 8
@@ -34,14 +35,33 @@ def year_between(df: DataFrame, lo: int, hi: int, ts: str = "date") -> DataFrame
     return df.filter((F.col(ts) >= start) & (F.col(ts) < stop))
 
 
+def _present(df: DataFrame, c: str) -> Column:
+    """Not null, and not NaN for floating columns (``na.drop`` semantics)."""
+    cond = F.col(c).isNotNull()
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        cond = cond & ~F.isnan(c)
+    return cond
+
+
 def drop_null_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Drop rows with a null (or NaN) in any of ``cols``."""
-    return df.na.drop(how="any", subset=list(cols))
+    """Drop rows with a null (or NaN) in any of ``cols``.
+
+    Same rows as ``df.na.drop(subset=cols)``, but written as a conjunction
+    of per-column predicates: ``na.drop`` is one ``AtLeastNNonNulls``
+    expression over all columns, which Catalyst cannot split, so it cannot
+    push the parts to the scans (it ends up as a join condition evaluated
+    after the join). Separate ``IS NOT NULL`` terms reach each side's scan.
+    """
+    cond = None
+    for c in cols:
+        part = _present(df, c)
+        cond = part if cond is None else cond & part
+    return df.filter(cond) if cond is not None else df
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Drop rows with a null (or NaN) in any column."""
-    return df.na.drop(how="any")
+    return drop_null_keys(df, df.columns)
 
 
 def row_hash(key, seed: int = 42) -> Column:

@@ -9,6 +9,7 @@ from beatline.operators.filters import with_split_flag
 from beatline.operators.panel import monthly_panel
 from beatline.plans.classification import build_v2
 from beatline.plans.features import DEFAULT_YEARS
+from beatline.session import checkpoint_small
 
 # Naive forecasts read off the panel's own history columns.
 BASELINES = [("rolling_mean", "rolling_avg_3m"),
@@ -19,9 +20,15 @@ BASELINES = [("rolling_mean", "rolling_avg_3m"),
 def panel_from_incidents(incidents: DataFrame, years: tuple[int, int] = DEFAULT_YEARS,
                          n_types: int = 10, n_locations: int = 50) -> DataFrame:
     """D5 over the classification set (top types only, as the panel is
-    built from the saved classification rows)."""
+    built from the saved classification rows).
+
+    The panel has one row per district and month, so it is small at any
+    input size; it is checkpointed to the shared folder because its
+    consumers (split, scaler fit and apply, metrics) would otherwise each
+    replay the whole incident plan.
+    """
     cs = build_v2(incidents, years, n_types, n_locations)
-    return monthly_panel(cs.rows)
+    return checkpoint_small(monthly_panel(cs.rows))
 
 
 def baseline_predictions(panel: DataFrame, cut: int, target: str = "crime_count") -> DataFrame:

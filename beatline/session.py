@@ -33,6 +33,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
+        # whole-stage-codegen method beyond that runs interpreted. At 8000
+        # Spark falls back to per-operator code for such stages (the value
+        # the Spark configuration docs suggest for HotSpot).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
@@ -79,12 +84,13 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def checkpoint_small(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint of a small intermediate (an aggregate).
+def checkpoint_small(df: DataFrame, name: str = "small") -> DataFrame:
+    """Materialise a small intermediate (an aggregate) once.
 
-    Computed once, written to the shared checkpoint folder, lineage cut:
-    later branches that read it do not rerun the pass over the big input,
-    and a lost executor does not trigger that pass again either.
+    Written as Parquet to the shared checkpoint folder and read back: the
+    lineage is cut, its readers do not rerun the pass over the big input,
+    and a lost executor re-reads files instead of replaying the plan.
+    (``DataFrame.checkpoint(eager=True)`` would run the plan twice: once
+    for the eager count and once more to write the checkpoint.)
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df, name)

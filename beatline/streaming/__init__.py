@@ -1,0 +1,13 @@
+"""Incremental form of the batch operators.
+
+The reference has no stream source, watermark, window or stateful operator;
+nothing streaming-specific is built. The row stages (extract, clean, row
+features) are projections and filters and the monthly count is a grouped
+count, so the same functions run unchanged on a ``readStream`` frame; this
+module only wires them to a file stream so new incident files update the
+district-month counts incrementally.
+"""
+
+from beatline.streaming.incremental import monthly_counts_stream
+
+__all__ = ["monthly_counts_stream"]

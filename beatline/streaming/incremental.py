@@ -1,0 +1,29 @@
+"""District-month counts over a stream of incident files (A7, incremental)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from beatline.plans.features import DEFAULT_YEARS, cleaned_features
+
+
+def monthly_counts_stream(incidents_stream: DataFrame,
+                          years: tuple[int, int] | None = DEFAULT_YEARS) -> DataFrame:
+    """Streaming DataFrame of (district, year, month, season, crime_count).
+
+    The same extract -> clean -> row-feature functions as the batch path,
+    then a grouped count kept in the state store; run it with output mode
+    ``update`` (or ``complete``) and a checkpoint location in the shared
+    folder so a restarted query resumes from its state.
+    """
+    rows = cleaned_features(incidents_stream, 2, years)
+    return (rows.groupBy("district", "year", "month", "season")
+            .agg(F.count(F.lit(1)).alias("crime_count")))
+
+
+def start_to_memory(spark: SparkSession, stream: DataFrame, name: str,
+                    checkpoint: str):
+    """Start ``stream`` into an in-memory table ``name`` (tests, notebooks)."""
+    return (stream.writeStream.outputMode("complete").format("memory").queryName(name)
+            .option("checkpointLocation", checkpoint).start())

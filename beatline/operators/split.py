@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.operators.filters import hash_below, row_hash
+from beatline.session import checkpoint_small
 
 # Hash buckets for the exact split: first 4 hex digits of the row hash.
 SPLIT_BUCKET_DIGITS = 4
@@ -70,10 +71,12 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "incident_k
                          & (F.col("quota") <= F.col("_cum")))
                 .select(label, F.col("_b").alias("_bstar"),
                         (F.col("quota") - (F.col("_cum") - F.col("_nb"))).alias("_rstar")))
-    thresholds = (quotas.select(label).join(boundary, label, "left")
-                  .select(label, F.coalesce("_bstar", F.lit(-1)).alias("_bstar"),
-                          F.coalesce("_rstar", F.lit(0)).alias("_rstar")))
-    # One row per class.
+    # One row per class, written once: both branches below read it, and the
+    # histogram pass is not repeated for each.
+    thresholds = checkpoint_small(
+        quotas.select(label).join(boundary, label, "left")
+        .select(label, F.coalesce("_bstar", F.lit(-1)).alias("_bstar"),
+                F.coalesce("_rstar", F.lit(0)).alias("_rstar")), "split-thresholds")
     if class_bound is not None:
         thresholds = F.broadcast(thresholds)
     y = x.join(thresholds, label)

@@ -73,8 +73,11 @@ def panel_aggregate(df: DataFrame, district: str = "district",
 
 
 def add_history(panel: DataFrame, value: str = "crime_count", district: str = "district",
-                lags: Sequence[int] = (1, 2, 3), window: int = 3) -> DataFrame:
-    """Positional history per district in (year, month) order.
+                lags: Sequence[int] = (1, 2, 3), window: int = 3,
+                calendar: bool = False) -> DataFrame:
+    """History per district in (year, month) order.
+
+    Positional (default):
 
     * ``{value}_lag{k}``: the value ``k`` rows earlier (a missing month is
       not filled, so the lag is positional, not calendar);
@@ -82,7 +85,22 @@ def add_history(panel: DataFrame, value: str = "crime_count", district: str = "d
       unless all of them exist;
     * ``{value}_yoy``: the previous row of the same (district, month) in
       year order (the previous *available* year).
+
+    ``calendar=True``: the same columns by month arithmetic - the value
+    exactly ``k`` months (12 for year over year) before, null when that
+    month is missing; the rolling mean needs all ``window`` previous
+    calendar months. Range frames over a month index, no self-join.
     """
+    if calendar:
+        idx = F.col("year") * 12 + F.col("month")
+        by_index = Window.partitionBy(district).orderBy(idx)
+        at = lambda k: by_index.rangeBetween(-k, -k)
+        prev = by_index.rangeBetween(-window, -1)
+        cols = [F.first(value).over(at(k)).alias(f"{value}_lag{k}") for k in lags]
+        cols.append(F.when(F.count(value).over(prev) == window,
+                           F.avg(value).over(prev)).alias(f"rolling_avg_{window}m"))
+        cols.append(F.first(value).over(at(12)).alias(f"{value}_yoy"))
+        return panel.select("*", *cols)
     by_time = Window.partitionBy(district).orderBy("year", "month")
     prev = by_time.rowsBetween(-window, -1)
     same_month = Window.partitionBy(district, "month").orderBy("year")
@@ -93,11 +111,12 @@ def add_history(panel: DataFrame, value: str = "crime_count", district: str = "d
     return panel.select("*", *cols)
 
 
-def monthly_panel(df: DataFrame, drop_incomplete_rows: bool = True) -> DataFrame:
+def monthly_panel(df: DataFrame, drop_incomplete_rows: bool = True,
+                  calendar: bool = False) -> DataFrame:
     """Aggregate, season, lags, guarded rolling mean, year over year,
     then rows with any null dropped (F5) - which removes each
     (district, month)'s first year."""
-    panel = add_history(panel_aggregate(df))
+    panel = add_history(panel_aggregate(df), calendar=calendar)
     panel = panel.select("district", "year", "month", "season", "crime_count",
                          "arrest_rate", "domestic_rate", "avg_hour", "rush_hour_rate",
                          "weekend_rate", "unique_wards", "unique_communities",

@@ -43,7 +43,9 @@ def classifier_data(incidents: DataFrame, years: tuple[int, int] = DEFAULT_YEARS
     rows = stratified_split(d3, "label", key, test_fraction, seed, class_bound=n_types)
     if stage:
         rows = materialize(rows, "d3-split")
-    return ClassifierData(rows, names.select("label", "primary_type"), n_types)
+    # Classes present (at most n_types): one small aggregate, read as a count.
+    num_classes = names.count()
+    return ClassifierData(rows, names.select("label", "primary_type"), num_classes)
 
 
 def train_weights(data: ClassifierData) -> DataFrame:

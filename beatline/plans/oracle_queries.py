@@ -190,9 +190,9 @@ SELECT district, year, month, crime_count,
     "standardize_population": _std_population_sql(),
     "stratified_split": with_ctes(["sp"], [],
                                   "SELECT incident_key, label, primary_type, is_test FROM sp"),
-    "class_weights": with_ctes(["sp"], [], f"""
+    "class_weights": with_ctes(["sp", "lab"], [], """
 SELECT label, primary_type, count(*) AS train_count,
-       sum(count(*)) OVER () / ({N_TYPES} * count(*)) AS weight
+       sum(count(*)) OVER () / ((SELECT count(*) FROM lab) * count(*)) AS weight
 FROM sp WHERE NOT is_test GROUP BY label, primary_type"""),
     "argmax_class": with_ctes(["spred"], [],
                               "SELECT incident_key, label, prediction FROM spred"),
@@ -200,13 +200,13 @@ FROM sp WHERE NOT is_test GROUP BY label, primary_type"""),
 SELECT round(avg(-ln(least(greatest(prob_true, 1e-15), 1 - 1e-15))), 6) AS log_loss,
        count(*) AS rows FROM spred"""),
     "classification_report": _report_sql(),
-    "confusion_matrix": with_ctes(["spred"], [], f"""
+    "confusion_matrix": with_ctes(["spred", "lab"], [], f"""
 SELECT g.actual, g.predicted, coalesce(c.n, 0) AS n,
        round(CASE WHEN sum(coalesce(c.n, 0)) OVER (PARTITION BY g.actual) > 0
              THEN coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER (PARTITION BY g.actual)
              END, 6) AS row_share
-FROM (SELECT CAST(a.i AS INT) AS actual, CAST(b.i AS INT) AS predicted
-      FROM range({N_TYPES}) a(i), range({N_TYPES}) b(i)) g
+FROM (SELECT CAST(a.label AS INT) AS actual, CAST(b.label AS INT) AS predicted
+      FROM lab a CROSS JOIN lab b) g
 LEFT JOIN (SELECT label AS actual, prediction AS predicted, count(*) AS n
            FROM spred GROUP BY 1, 2) c
   ON g.actual = c.actual AND g.predicted = c.predicted"""),

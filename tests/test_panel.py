@@ -84,3 +84,25 @@ def test_monthly_counts_ordering(spark):
     got = [(r.year, r.month, r.district) for r in panel.monthly_counts(sdf).collect()]
     assert got == sorted(got)
     assert panel.monthly_counts(sdf).agg(F.sum("crime_count")).first()[0] == 8
+
+
+def test_calendar_history_fills_gaps_with_null(spark):
+    rows = _gap_series()
+    sdf = spark.createDataFrame(rows, "district int, year int, month int, crime_count long")
+    got = panel.add_history(sdf, calendar=True).toPandas()
+    df = pd.DataFrame(rows, columns=["district", "year", "month", "crime_count"])
+    lookup = {(d, y * 12 + m): c for d, y, m, c in rows}
+    for r in got.itertuples():
+        i = r.year * 12 + r.month
+        for k in (1, 2, 3):
+            want = lookup.get((r.district, i - k))
+            v = getattr(r, f"crime_count_lag{k}")
+            assert (want is None and pd.isna(v)) or v == want
+        prev = [lookup.get((r.district, i - k)) for k in (1, 2, 3)]
+        if None in prev:
+            assert pd.isna(r.rolling_avg_3m)
+        else:
+            assert np.isclose(r.rolling_avg_3m, sum(prev) / 3)
+        want = lookup.get((r.district, i - 12))
+        assert (want is None and pd.isna(r.crime_count_yoy)) or r.crime_count_yoy == want
+    assert len(df) == len(got)

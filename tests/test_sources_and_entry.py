@@ -93,3 +93,26 @@ def test_query_matches_oracle(spark, duck, key):
     oh, ok, _ = digest(ocols, orows)
     assert sk == ok
     assert sh == oh
+
+
+def test_partitioned_write_prunes(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    df = spark.range(100).select((F.lit(2015) + F.col("id") % 4).cast("int").alias("year"),
+                                 F.col("id"))
+    path = f"{tmp_dir}/by_year"
+    write_table(df, path, "parquet", partition_by=["year"])
+    back = spark.read.parquet(path).filter("year = 2017")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and back.count() == 25
+
+
+def test_read_incidents_formats(spark, tmp_dir):
+    from beatline.sources.incidents import read_incidents
+    df = spark.createDataFrame([("THEFT", 1)], "primary_type string, district int")
+    df.write.parquet(f"{tmp_dir}/p")
+    df.write.json(f"{tmp_dir}/j")
+    assert read_incidents(spark, f"{tmp_dir}/p").count() == 1
+    assert read_incidents(spark, f"{tmp_dir}/j", format="json", schema=df.schema).first() \
+        == df.first()
+    df.createOrReplaceTempView("incidents_tmp")
+    assert read_incidents(spark, "incidents_tmp", format="table").count() == 1

@@ -52,8 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised stages.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a fresh temporary folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only when it is unset and the
+    master is local (tests) a fresh temporary folder is created and
+    registered. On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not visible to other executors.
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a folder on the shared file system")
         path = tempfile.mkdtemp(prefix="beatline-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -30,10 +30,13 @@ def classifier_data(incidents: DataFrame, years: tuple[int, int] = DEFAULT_YEARS
                     stage: bool = True) -> ClassifierData:
     """D3 relabelled alphabetically with an exact stratified test flag.
 
-    With ``stage`` the D3 rows are written once to the shared folder (the
-    split reads them three times: histogram, rows outside the boundary
-    bucket, boundary rows), and so is the split result, which the weights,
-    the fits and the evaluations all read.
+    With ``stage`` the D3 rows are written once to the shared folder: the
+    split reads them three times (histogram, rows outside the boundary
+    bucket, boundary rows) and every consumer of the split (weights,
+    surrogate fit, predictions) reads them again. The split itself is a
+    map-side join with a one-row-per-class table plus a window over the
+    boundary rows, cheap to recompute per consumer; model fits write their
+    own train/validation rows.
     """
     cs = build_v2(incidents, years, n_types, n_locations, key=key)
     d3 = materialize(cs.rows, "d3") if stage else cs.rows
@@ -41,8 +44,6 @@ def classifier_data(incidents: DataFrame, years: tuple[int, int] = DEFAULT_YEARS
     d3 = d3.drop("label").join(F.broadcast(names.select("primary_type", "label")),
                                "primary_type")
     rows = stratified_split(d3, "label", key, test_fraction, seed, class_bound=n_types)
-    if stage:
-        rows = materialize(rows, "d3-split")
     # Classes present (at most n_types): one small aggregate, read as a count.
     num_classes = names.count()
     return ClassifierData(rows, names.select("label", "primary_type"), num_classes)

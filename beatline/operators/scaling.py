@@ -37,7 +37,7 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], ddof: int = 0,
 
     ``ddof=0``: population deviation (fit on train rows, apply to test: M7);
     ``ddof=1``: sample deviation. A zero deviation is replaced by
-    ``zero_dev`` (1.0 leaves the centred value, as scikit-learn does).
+    ``zero_dev`` (1.0 leaves the centred value).
     """
     std = F.stddev_pop if ddof == 0 else F.stddev_samp
     aggs = []

@@ -33,14 +33,15 @@ EXTRACT_SCHEMA = T.StructType(
     + [f for f in INCIDENT_SCHEMA.fields if f.name in COORD_COLUMNS]
 )
 
-# Columns that must be present for a row to be kept.
+# Columns that must be present for a row to be kept (F4),
+# in the order the cleaning steps list them.
 KEYS_V1 = ["primary_type", "district", "year", "month",
            "day_of_week", "hour_of_day", "arrest", "domestic"]
 KEYS_V2 = ["primary_type", "district", "ward", "community_area",
            "year", "month", "day_of_week", "hour_of_day",
            "arrest", "domestic", "location_description", "description"]
 
-# Model feature lists.
+# Model feature lists, in model input order.
 FEATURES_V1 = ["year", "month", "day_of_week", "hour_of_day",
                "district", "arrest_int", "domestic_int",
                "is_rush_hour", "is_weekend", "season"]
@@ -56,5 +57,5 @@ PANEL_FEATURES = ["district", "year", "month", "season",
                   "crime_count_lag1", "crime_count_lag2", "crime_count_lag3",
                   "rolling_avg_3m", "crime_count_yoy"]
 
-# Null profile columns.
+# Null profile columns.
 NULL_PROFILE_COLUMNS = ["primary_type", "date", "district", "latitude", "arrest"]

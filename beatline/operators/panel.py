@@ -37,12 +37,15 @@ def distinct_count(c: str, method: str = "set"):
     buffer per group holds at most the column's domain, so use it for small
     code domains (wards, community areas). ``expand``: ``countDistinct``,
     which Catalyst rewrites with an Expand (rows x distinct columns) and an
-    extra aggregation stage, bounded memory for any domain.
+    extra aggregation stage, bounded memory for any domain. ``approx``:
+    ``approx_count_distinct`` (an estimate, not exact).
     """
     if method == "set":
         return F.size(F.collect_set(c)).cast("bigint")
     if method == "expand":
         return F.countDistinct(c)
+    if method == "approx":  # HyperLogLog++ sketch, fixed-size buffer per group
+        return F.approx_count_distinct(c)
     raise ValueError(f"unknown method {method!r}")
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from beatline.functions import calendar as cal
 from beatline.functions.text import keyword_group
@@ -60,13 +59,3 @@ def cleaned_features(incidents: DataFrame, version: int = 2,
                      years: tuple[int, int] | None = DEFAULT_YEARS) -> DataFrame:
     """Extract -> clean -> row features."""
     return add_row_features(clean(extract_incidents(incidents, years), version), version)
-
-
-def funnel_conditions(version: int = 2, top_types: DataFrame | None = None):
-    """Stage conditions for the row funnel over the extract."""
-    keys = KEYS_V1 if version == 1 else KEYS_V2
-    cond = None
-    for c in keys:
-        part = F.col(c).isNotNull()
-        cond = part if cond is None else cond & part
-    return cond

@@ -77,6 +77,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+# Paths written by ``materialize`` in this driver process, per application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
@@ -86,9 +90,29 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+def release_materialized(spark: SparkSession) -> int:
+    """Delete the stages this application wrote with ``materialize``.
+
+    Call once the DataFrames that read them are no longer needed (end of a
+    job); they live on the shared file system, which Spark does not clean.
+    Returns the number of paths removed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed += 1
+    return removed
+
+
 def checkpoint_small(df: DataFrame, name: str = "small") -> DataFrame:
     """Materialise a small intermediate (an aggregate) once.
 

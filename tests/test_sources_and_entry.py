@@ -116,3 +116,14 @@ def test_read_incidents_formats(spark, tmp_dir):
         == df.first()
     df.createOrReplaceTempView("incidents_tmp")
     assert read_incidents(spark, "incidents_tmp", format="table").count() == 1
+
+
+def test_release_materialized(spark):
+    import os
+    from beatline.session import materialize, release_materialized, _WRITTEN
+    release_materialized(spark)
+    df = materialize(spark.range(10), "tmp-stage")
+    assert df.count() == 10
+    paths = list(_WRITTEN[spark.sparkContext.applicationId])
+    assert release_materialized(spark) == 1
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)

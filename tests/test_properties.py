@@ -42,3 +42,29 @@ def test_percent_rounding_exact(spark, pairs):
     for (n, t), p in zip(pairs, got):
         want = float(int(Fraction(n * 10000, t) + Fraction(1, 2))) / 100
         assert p == want
+
+
+def test_pct_sums_to_100_and_funnel_shrinks(spark):
+    from conftest import SF_MID
+    from beatline.plans.catalog import QUERIES
+    dist = QUERIES["type_distribution"](spark, SF_MID).collect()
+    assert len(dist) == 20
+    from beatline.operators.explore import type_distribution
+    from beatline.sources.fixture import fixture_incidents
+    full = type_distribution(fixture_incidents(spark, SF_MID), n=1000).collect()
+    assert abs(sum(r.pct for r in full) - 100) < 0.01 * len(full)
+    funnel = sorted(QUERIES["stage_funnel"](spark, SF_MID).collect(), key=lambda r: r.step)
+    rows = [r.rows for r in funnel]
+    assert rows == sorted(rows, reverse=True) and rows[-1] > 0
+
+
+def test_forest_is_deterministic(spark):
+    from beatline.operators import models as M
+    rows = [(i % 7, i % 11, (i % 7 + i % 11) % 3) for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b int, label int")
+    preds = []
+    for _ in range(2):
+        m = M.fit_forest_classifier(df, ["a", "b"], "label", num_trees=5, max_depth=4,
+                                    min_instances=1)
+        preds.append([r.prediction for r in m.transform(M.assemble(df, ["a", "b"])).collect()])
+    assert preds[0] == preds[1]

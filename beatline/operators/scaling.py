@@ -44,7 +44,7 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], ddof: int = 0,
     for c in columns:
         aggs += [F.avg(c).alias(f"m_{c}"), std(c).alias(f"s_{c}")]
     row = df.agg(*aggs).first()
-    means = [float(row[f"m_{c}"]) for c in columns]
+    means = [float(row[f"m_{c}"]) if row[f"m_{c}"] is not None else 0.0 for c in columns]
     devs = []
     for c in columns:
         s = row[f"s_{c}"]

@@ -105,10 +105,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     has at least ``defaultParallelism`` splits and is returned unchanged,
     so no shuffle is added where the scan is already parallel.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session)
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def fixture_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

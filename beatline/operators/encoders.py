@@ -10,7 +10,7 @@ measured size is small and keeps the shuffle join otherwise.
 from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest table that is hinted for broadcast when its row bound is known.
@@ -121,3 +121,39 @@ def fit_string_indexer(df: DataFrame, cols: list[str], outs: list[str],
     """
     return StringIndexer(inputCols=cols, outputCols=outs,
                          stringOrderType=order, handleInvalid="error").fit(df)
+
+
+def collect_code_maps(tables: dict[str, tuple[DataFrame, str, str]],
+                      max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, dict]:
+    """Fetch several small code tables in one job: ``{name: {value: code}}``.
+
+    The fitted encoder is then a set of literals, as a ``StringIndexerModel``
+    keeps its labels on the driver: applying it is a projection (``isin``
+    filters that reach the scan, map lookups inside codegen), with no join
+    and no broadcast stage. Only for tables bounded by construction; a table
+    over ``max_rows`` rows is refused.
+    """
+    parts = [t.select(F.lit(name).alias("_kind"), F.col(v).cast("string").alias("_value"),
+                      F.col(c).cast("double").alias("_code"))
+             for name, (t, v, c) in tables.items()]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    rows = union.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"code tables exceed {max_rows} rows; join them instead")
+    out: dict[str, dict] = {name: {} for name in tables}
+    for r in rows:
+        out[r["_kind"]][r["_value"]] = r["_code"]
+    return out
+
+
+def map_lookup(codes: dict, col) -> Column:
+    """Literal map lookup ``codes[col]``; a missing key gives null."""
+    col = F.col(col) if isinstance(col, str) else col
+    if not codes:
+        return F.lit(None).cast("double")
+    pairs = []
+    for k, v in codes.items():
+        pairs += [F.lit(k), F.lit(v)]
+    return F.create_map(*pairs)[col]

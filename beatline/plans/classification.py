@@ -8,12 +8,13 @@ Plan shape (v2), two passes over the cleaned rows whatever the data size:
    shared folder (computed once; its readers do not rescan the input);
 2. every list and code table (top types + label, top locations, location
    codes, description codes) is derived from ``profile`` and is bounded by
-   construction (N types, N locations + 1, rule groups + 1);
-3. the cleaned rows are joined with those tables by broadcast hash joins
-   (map-side, no shuffle of the big side) and projected.
-
-The top-type join is an inner join with a table whose keys are unique, so it
-is both the semi join J1 and the label lookup M3.
+   construction (N types, N locations + 1, rule groups + 1); they are
+   fetched together in one small job, like the labels of a fitted
+   ``StringIndexerModel``;
+3. the cleaned rows are encoded by a projection: ``primary_type IN (top
+   types)`` (the semi join J1, pushed towards the scan) and literal map
+   lookups for the label (M3) and the location and description codes - no
+   join, no broadcast stage, no shuffle of the big side.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.functions.text import DESCRIPTION_RULES, group_names
 from beatline.operators.encoders import (
-    apply_code_table, frequency_code_table, top_n_keys,
+    apply_code_table, collect_code_maps, frequency_code_table, map_lookup, top_n_keys,
 )
 from beatline.plans.features import DEFAULT_YEARS, cleaned_features
 from beatline.schema import FEATURES_V1, FEATURES_V2
@@ -75,18 +75,20 @@ def build_v2(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS
         profile.groupBy("description_grouped").agg(F.sum("n").alias("n")),
         "description_grouped", code_name="description_encoded")
 
-    rows = apply_code_table(d2, types, "primary_type", "label", bound=n_types)
-    rows = (rows.join(F.broadcast(top_keys), rows["location_description"] == F.col("_top"),
-                      "left")
-            .withColumn("location_description_clean",
-                        F.when(F.col("_top").isNotNull(), F.col("location_description"))
-                        .otherwise(F.lit(other)))
-            .drop("_top"))
-    rows = apply_code_table(rows, loc_codes, "location_description_clean",
-                            "location_encoded", bound=n_locations + 1)
-    rows = apply_code_table(rows, desc_codes, "description_grouped",
-                            "description_encoded",
-                            bound=len(group_names(DESCRIPTION_RULES)))
+    fitted = collect_code_maps({
+        "type": (types, "primary_type", "label"),
+        "top": (loc_top.withColumn("_none", F.lit(None)), "location_description", "_none"),
+        "location": (loc_codes, "location_description_clean", "location_encoded"),
+        "description": (desc_codes, "description_grouped", "description_encoded"),
+    })
+    top_types = list(fitted["type"])
+    clean = (F.when(F.col("location_description").isin(list(fitted["top"])),
+                    F.col("location_description")).otherwise(F.lit(other)))
+    rows = (d2.filter(F.col("primary_type").isin(top_types))
+            .withColumn("label", map_lookup(fitted["type"], "primary_type"))
+            .withColumn("location_encoded", map_lookup(fitted["location"], clean))
+            .withColumn("description_encoded",
+                        map_lookup(fitted["description"], "description_grouped")))
     keep = ([key] if key and key in d2.columns else [])
     rows = rows.select(*keep, *FEATURES_V2, "label", "primary_type")
     return ClassificationSet(rows, types, loc_top, loc_codes, desc_codes, d2)
@@ -97,7 +99,9 @@ def build_v1(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS
     """v1: 8 key columns, 10 features; the saved values are unscaled."""
     d2 = cleaned_features(incidents, 1, years)
     types = _type_codes(d2, n_types, None)
-    rows = apply_code_table(d2, types, "primary_type", "label", bound=n_types)
+    codes = collect_code_maps({"type": (types, "primary_type", "label")})["type"]
+    rows = (d2.filter(F.col("primary_type").isin(list(codes)))
+            .withColumn("label", map_lookup(codes, "primary_type")))
     keep = ([key] if key and key in d2.columns else [])
     rows = rows.select(*keep, *FEATURES_V1, "label", "primary_type")
     return ClassificationSet(rows, types, None, None, None, d2)

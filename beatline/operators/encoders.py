@@ -1,10 +1,12 @@
 """Top-N lists, rare-value buckets and frequency encoders.
 
 Encoders are fitted as small *code tables* (value -> code) computed from a
-grouped count, then applied with a join. Every table that is broadcast is
-bounded by construction (a top-N list, or a fixed rule list); a table with no
-static bound is joined without a hint so AQE broadcasts it only when its
-measured size is small and keeps the shuffle join otherwise.
+grouped count, then applied with a join, or - for tables bounded by
+construction - fetched once and applied as literals (``collect_code_maps``,
+``map_lookup``). Every table that is broadcast is bounded by construction (a
+top-N list, or a fixed rule list); a table with no static bound is joined
+without a hint so AQE broadcasts it only when its measured size is small and
+keeps the shuffle join otherwise.
 """
 
 from __future__ import annotations

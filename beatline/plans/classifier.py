@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatline.functions.text import DESCRIPTION_RULES, group_names
+from beatline.operators.encoders import collect_code_maps, map_lookup
 from beatline.operators.split import class_weights, stratified_split
 from beatline.plans.classification import alphabetical_labels, build_v2
 from beatline.plans.features import DEFAULT_YEARS
@@ -41,11 +42,11 @@ def classifier_data(incidents: DataFrame, years: tuple[int, int] = DEFAULT_YEARS
     cs = build_v2(incidents, years, n_types, n_locations, key=key)
     d3 = materialize(cs.rows, "d3") if stage else cs.rows
     names = alphabetical_labels(d3, "primary_type", "label")
-    d3 = d3.drop("label").join(F.broadcast(names.select("primary_type", "label")),
-                               "primary_type")
+    # At most n_types labels: fetched once and applied as a literal map.
+    label_of = collect_code_maps({"label": (names, "primary_type", "label")})["label"]
+    d3 = d3.withColumn("label", map_lookup(label_of, "primary_type").cast("int"))
     rows = stratified_split(d3, "label", key, test_fraction, seed, class_bound=n_types)
-    # Classes present (at most n_types): one small aggregate, read as a count.
-    num_classes = names.count()
+    num_classes = len(label_of)
     return ClassifierData(rows, names.select("label", "primary_type"), num_classes)
 
 

@@ -99,9 +99,9 @@ def build_v1(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS
     """v1: 8 key columns, 10 features; the saved values are unscaled."""
     d2 = cleaned_features(incidents, 1, years)
     types = _type_codes(d2, n_types, None)
-    codes = collect_code_maps({"type": (types, "primary_type", "label")})["type"]
-    rows = (d2.filter(F.col("primary_type").isin(list(codes)))
-            .withColumn("label", map_lookup(codes, "primary_type")))
+    # A broadcast join with the (<= n_types rows) code table: AQE runs the
+    # top-type pass and the scan of the rows concurrently.
+    rows = apply_code_table(d2, types, "primary_type", "label", bound=n_types)
     keep = ([key] if key and key in d2.columns else [])
     rows = rows.select(*keep, *FEATURES_V1, "label", "primary_type")
     return ClassificationSet(rows, types, None, None, None, d2)

@@ -81,15 +81,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _WRITTEN: dict[str, list[str]] = {}
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back.
+def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back;
+    ``options`` go to the Parquet writer.
 
     Cuts lineage (a lost executor re-reads files rather than recomputing the
     plan) and lets later passes prune columns and push filters into the scan.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 

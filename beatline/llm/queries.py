@@ -4,14 +4,43 @@ Each runs its operator with production parameters over its whole tables."""
 
 from __future__ import annotations
 
-from beatline.llm import quality, token_counts, warc
+from beatline.llm import chat, decontaminate, jaccard, licenses, packing, quality, secrets, substring_dedup, token_counts, warc
 from beatline.llm.common import table
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontamination(spark, sf_dir):
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_secret_scans(spark, sf_dir):
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op7_chat_formatting(spark, sf_dir):
+    chats = table(spark, sf_dir, "conversations")
+    return chat.format_chats(chats, chat.fit(chats))
+
+
+def op8_license_scans(spark, sf_dir):
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -22,6 +51,8 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op9_warc, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_substring_dedup, op3_quality_rules, op4_decontamination, op5_secret_scans, op6_jaccard_join,
+    op7_chat_formatting, op8_license_scans, op9_warc, op10_token_counts)}
 
 ORACLE: dict[str, str] = {}

@@ -135,23 +135,27 @@ def spans_of(text: Column, rule: Rule) -> Column:
 def candidates(texts: DataFrame, rules: list[Rule]) -> DataFrame:
     """(key, rules): for each key, the indexes of the rules whose trigram
     queries its text fulfils. ``texts`` has ``key`` and ``text``."""
-    rows = [(r, c, a, t, len(alt)) for r, rule in enumerate(rules)
-            for c, clause in enumerate(trigram_query(rule.pattern))
-            for a, alt in enumerate(clause) for t in sorted(alt)]
+    rows, needed = [], []
+    for r, rule in enumerate(rules):
+        clauses = trigram_query(rule.pattern)
+        needed += [(r, (1 << len(clauses)) - 1)] if clauses else []
+        for c, clause in enumerate(clauses):
+            for a, alt in enumerate(clause):
+                rows += [(r, 1 << c, a, t, 1 << bit, (1 << len(alt)) - 1) for bit, t in enumerate(sorted(alt))]
     asked = sorted({r[3] for r in rows})
-    clauses = {r: len(trigram_query(rule.pattern)) for r, rule in enumerate(rules)}
     spark = texts.sparkSession
-    query = spark.createDataFrame(rows, "rule int, clause int, alt int, trigram string, n int")  # fixed by the rules
-    needed = spark.createDataFrame([(r, n) for r, n in clauses.items() if n], "rule int, clauses int")
+    query = spark.createDataFrame(rows, "rule int, clause long, alt int, trigram string, bit long, full long")  # fixed by the rules
+    needed = spark.createDataFrame(needed, "rule int, whole long")
 
     low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    held = F.array_compact(F.array(*[F.when(F.contains(F.col("low"), F.lit(t)), F.lit(t)) for t in asked]))
-    postings = texts.select("key", low.alias("low")).select("key", held.alias("held")) \
-        .select("key", F.explode("held").alias("trigram"))
-    alternatives = postings.join(F.broadcast(query), "trigram").groupBy("key", "rule", "clause", "alt", "n") \
-        .agg(F.count_distinct("trigram").alias("got")).filter("got = n")
-    return alternatives.groupBy("key", "rule").agg(F.count_distinct("clause").alias("got")) \
-        .join(F.broadcast(needed), "rule").filter("got = clauses") \
+    # A one-element transform evaluates the lower-cased text once, not for each trigram.
+    held = F.transform(F.array(low), lambda x: F.filter(F.array(*map(F.lit, asked)), lambda t: F.contains(x, t)))[0]
+    postings = texts.select("key", F.explode(held).alias("trigram"))
+    # Sets of trigrams and of clauses are bits: an OR adds them up, repeats included.
+    alternatives = postings.join(F.broadcast(query), "trigram").groupBy("key", "rule", "clause", "alt", "full") \
+        .agg(F.bit_or("bit").alias("got")).filter("got = full")
+    return alternatives.groupBy("key", "rule").agg(F.bit_or("clause").alias("got")) \
+        .join(F.broadcast(needed), "rule").filter("got = whole") \
         .groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
@@ -188,6 +192,17 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_
     return out.withColumnsRenamed(dict(zip(kept, keep))) if keep else out
 
 
+def redacted(text: Column, found: Column) -> Column:
+    """The text with each span replaced by its kind in brackets; spans that
+    overlap are replaced as one, by the kind of the first."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(found, start, lambda acc, s: F.struct(
+        F.greatest(acc["at"], s["end"]).alias("at"),
+        F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(
+            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))).alias("out")))
+    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+
+
 def listing(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 

@@ -82,34 +82,34 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     texts = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     words = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", word_array(F.col("text")).alias("words"))
-    pairs = words.select(
-        "row", "doc_id", F.size("words").cast("long").alias("n_words"),
-        F.posexplode_outer(F.arrays_zip(F.col("words").alias("w1"), F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("w2"))).alias("p", "pair"),
-    ).select("row", "doc_id", "n_words", "p", F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2"))
+    second = F.expr("slice(words, 2, greatest(size(words) - 1, 0))")
+    pairs = words.select("row", "doc_id", F.size("words").cast("long").alias("n_words"),
+                         F.arrays_zip(F.col("words").alias("w1"), second.alias("w2")).alias("pairs")) \
+        .select("row", "doc_id", "n_words", F.posexplode_outer("pairs").alias("p", "pair")) \
+        .select("row", "doc_id", "n_words", "p", F.col("pair.w1").alias("w1"), F.col("pair.w2").alias("w2"))
 
     places = templates(docs.sparkSession)
-    hits = pairs.join(
-        F.broadcast(places),
-        (F.xxhash64("w1", "w2") == F.col("hash")) & (F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2")), "left",
-    ).filter("template is not null or p is null or p = 0")  # a row without a hit keeps the document
-
-    diagonals = hits.groupBy("row", "template", (F.col("p") - F.col("t")).alias("diagonal")).agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "n_words", "label", "exact", "n_pairs")],
+    # Joined by the hash alone, a compact map of longs; the words decide after it.
+    hits = pairs.join(F.broadcast(places), F.xxhash64("w1", "w2") == F.col("hash"), "left") \
+        .withColumn("template", F.when((F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2")), F.col("template"))) \
+        .filter("template is not null or p is null or p = 0")  # a row without a hit keeps the document
+
+    of_row = ("row", "doc_id", "n_words")
+    of_template = (*of_row, "template", "label", "exact", "n_pairs")
+    diagonals = hits.groupBy(*of_template, (F.col("p") - F.col("t")).alias("diagonal")).agg(
         F.count("template").alias("votes"), F.min("p").alias("low"), F.max("p").alias("high"))
 
     by_template = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.col("exact") | F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by_template) > slack, F.lit(True))
     spans = diagonals.withColumn("span", F.sum(apart.cast("int")).over(by_template)) \
-        .groupBy("row", "template", "span").agg(
-            *[F.first(c).alias(c) for c in ("doc_id", "n_words", "label", "exact", "n_pairs")],
+        .groupBy(*of_template, "span").agg(
             F.sum("votes").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high"))
 
     share = F.least(F.col("votes") / F.col("n_pairs"), F.lit(1.0))
     within = F.col("high") - F.col("low") < F.col("n_pairs") + 2 * slack
     found = F.when(F.col("exact"), F.col("votes") == F.col("n_pairs")).otherwise((share >= least_share) & within)
     base = F.col("exact") & found
-    return spans.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+    return spans.groupBy(*of_row).agg(
         F.count(F.when(base, 1)).alias("n_base"),
         F.min(F.when(base, F.col("low"))).cast("long").alias("first_word"),
         F.max(F.when(base, F.col("low"))).cast("long").alias("last_word"),

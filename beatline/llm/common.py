@@ -13,10 +13,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -160,6 +160,31 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(out[:n], out[w - span:w - span + n])
 
 
+#: Bits of an id bitmap (1 MB).
+BITMAP_BITS = 1 << 23
+
+
+def id_bit(column: str) -> Column:
+    """The place of an id in an id bitmap."""
+    return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+
+
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size of the ids in column ``id``, built by Spark: it
+    holds every id, and others by chance."""
+    at = id_bit("id") + 1  # Spark counts bits from 1
+    rows = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
+    out = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for r in rows:  # at most 256 of 4 KB
+        out[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (at & 7)) & 1 == 1
+
+
 def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """``start[0], start[0]+1, ...`` for ``length[0]`` places, then the next."""
     total = np.cumsum(length)

@@ -14,11 +14,14 @@ least overlap. So:
   a part are indexed. ``m`` grows with the size class, and a set is also
   registered in the next class if a partner can be in it.
 
-No link is lost, and a key's documents are candidates. They are verified in two
-steps: first each key's least document against the others (a star: linear in a
-group of copies), then, among keys whose documents still lie in several
-components, all pairs across components. Equal sets are one class throughout,
-so copies are never paired. Shingles are compared by 64-bit hashes.
+No link is lost, and a key's documents are candidates. They are verified in
+two rounds. First a star: each document is tried against one head, the least
+document of its keys, which is linear in the documents, and a group of copies
+becomes one component. Then, among keys whose documents
+still lie in several components, all pairs across components are tried; a
+histogram of hash cells bounds what two sets can share and rules most of them
+out. Equal sets are one class throughout, so copies are never paired. Shingles
+are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,16 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import LOWER, NOT_BLANK, Words, documents, grams, mix, ragged, slices, utf8
+from beatline.llm.common import (LOWER, NOT_BLANK, Words, documents, grams, id_bit, id_bitmap,
+                                 in_bitmap, mix, ragged, slices, utf8)
 from beatline.session import materialize
 
 SHINGLE = 5
-#: A token is frequent in at least so many documents and this share of them.
-FREQUENT_LEAST = 16
-FREQUENT_SHARE = 1 / 5000
+#: A token is frequent if blocks see it in so many documents and in this share.
+FREQUENT_LEAST = 8
+FREQUENT_SHARE = 1 / 20_000
 #: At most so many tokens, the most frequent ones, are treated as frequent.
 MOST_FREQUENT = 1 << 20
-_BITS = 1 << 23
+#: Tokens counted together when frequent ones are looked for.
+BLOCK_TOKENS = 4_000_000
+_CELLS = 256
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -55,7 +61,8 @@ class Sets:
             if len(few):
                 keys = np.concatenate([keys, grams(hashes, n)[words.first[few]]])
                 doc = np.concatenate([doc, few])
-        order = np.lexsort((keys, doc))
+        order = np.argsort(keys)
+        order = order[np.argsort(doc[order].astype(np.uint16 if len(texts) < 1 << 16 else np.int64), kind="stable")]
         keys, doc = keys[order], doc[order]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
@@ -87,38 +94,47 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2) of every row."""
+def survey(docs: DataFrame) -> DataFrame:
+    """One pass over the texts: (doc_id, n_shingles, d1, d2) of every row, and,
+    with a ``token``, the tokens that a block of about ``BLOCK_TOKENS`` tokens of
+    distinct sets holds three times or more, and how often (``n``)."""
+    names = ["doc_id", "n_shingles", "d1", "d2", "token", "n"]
+
+    def often(block: list[np.ndarray]) -> pa.RecordBatch:
+        tokens = np.sort(np.concatenate([np.zeros(0, np.uint64), *block]))
+        head = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])[:len(tokens)])
+        n = np.diff(np.append(head, len(tokens)))
+        head, n = head[n > 2], n[n > 2]
+        nothing = pa.nulls(len(n), pa.int64())
+        return pa.RecordBatch.from_arrays([nothing] * 4 + [pa.array(tokens[head].view(np.int64)), pa.array(n)], names=names)
 
     def run(batches):
+        block, held, seen = [], 0, set()
         for batch in slices(batches):
             sets = Sets(utf8(batch.column("text")))
+            rows = sets.representatives(*_ids(batch))
+            new = [d not in seen for d in zip(sets.digest[0][rows].tolist(), sets.digest[1][rows].tolist())]
+            rows = rows[np.array(new, bool)]
+            seen.update(zip(sets.digest[0][rows].tolist(), sets.digest[1][rows].tolist()))
+            block.append(sets.tokens[ragged(sets.first[rows], sets.size[rows])])
+            held += len(block[-1])
+            nothing = pa.nulls(batch.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets.size.astype(np.int64)), *map(pa.array, sets.digest)],
-                names=["doc_id", "n_shingles", "d1", "d2"])
+                [batch.column("doc_id"), pa.array(sets.size.astype(np.int64)), *map(pa.array, sets.digest), nothing, nothing],
+                names=names)
+            if held > BLOCK_TOKENS:
+                yield often(block)
+                block, held, seen = [], 0, set()
+        yield often(block)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, token long, n long")
 
 
-def frequent_tokens(docs: DataFrame, n_docs: int, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent tokens, sorted, and the rank of each by count. Tasks send
-    the tokens that they see in three sets or more; copies count once a slice.
+def frequent_tokens(seen: DataFrame, n_docs: int, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent tokens of a survey, sorted, and the rank of each by count.
     The choice only affects speed, never which links are found."""
-
-    def run(batches):
-        seen, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for batch in slices(batches):
-            sets = Sets(utf8(batch.column("text")))
-            rows = sets.representatives(*_ids(batch))
-            tokens, n = np.unique(sets.tokens[ragged(sets.first[rows], sets.size[rows])], return_counts=True)
-            seen.append(tokens[n > 1])
-            counts.append(n[n > 1])
-        tokens, at = np.unique(np.concatenate(seen), return_inverse=True)
-        n = np.bincount(at, np.concatenate(counts), len(tokens)).astype(np.int64)
-        yield _batch(token=tokens[n > 2].view(np.int64), n=n[n > 2])
-
     least = max(FREQUENT_LEAST, FREQUENT_SHARE * n_docs)
-    rows = docs.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")) \
+    rows = seen.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")) \
         .filter(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(most).toArrow()
     tokens, n = (rows.column(c).to_numpy() for c in ("token", "n"))  # at most ``most``
     tokens = tokens.astype(np.int64).view(np.uint64)
@@ -187,59 +203,71 @@ def index_entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> D
     return docs.mapInArrow(run, "key long, node long, size int")
 
 
-def bitmap(ids: DataFrame) -> np.ndarray:
-    """A 1 MB bitmap of hashed ids (column ``id``), built by Spark."""
-    at = _bit(F.col("id")) + 1  # Spark counts bits from 1
-    rows = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
-    out = np.zeros(_BITS // 8, np.uint8)
-    for r in rows:  # at most 256 of 4 KB
-        out[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(r.bits, np.uint8)
-    return out
+def set_parts(docs: DataFrame, ids: DataFrame, pack) -> DataFrame:
+    """(id, part): what ``pack`` makes of the tokens of the documents in ``ids``
+    (and, at worst, some more), picked by a bitmap of fixed size."""
+    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
 
+    def run(batches):
+        for batch in slices(batches):
+            keep = in_bitmap(bits.value, batch.column("at").to_numpy())
+            batch = batch.filter(pa.array(keep & batch.column("doc_id").is_valid().to_numpy(False)))
+            if batch.num_rows:
+                sets = Sets(utf8(batch.column("text")))
+                packed = [pack(sets.tokens[a:b]) for a, b in zip(sets.first[:-1], sets.first[1:])]
+                yield _batch(id=batch.column("doc_id"), part=pa.array(packed, pa.binary()))
 
-def _bit(column) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(_BITS))
+    return docs.withColumn("at", id_bit("doc_id")).mapInArrow(run, "id long, part binary")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, tokens): the packed sets of the documents in ``ids``; a bitmap of
-    fixed size picks them (and, at worst, some more) before anything is sent."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
+def histogram(tokens: np.ndarray) -> bytes:
+    """How many tokens fall in each of ``_CELLS`` cells. Two sets share at most
+    the sum of the lesser counts."""
+    counts = np.bincount((tokens & np.uint64(_CELLS - 1)).astype(np.int64), minlength=_CELLS)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int64).tobytes()
 
-    def run(batches):
-        for batch in slices(batches):
-            at = batch.column("at").to_numpy()
-            keep = (bits.value[at >> 3] >> (at & 7)) & 1 == 1
-            batch = batch.filter(pa.array(keep & batch.column("doc_id").is_valid().to_numpy(False)))
-            if not batch.num_rows:
-                continue
-            sets = Sets(utf8(batch.column("text")))
-            packed = [sets.tokens[a:b].tobytes() for a, b in zip(sets.first[:-1], sets.first[1:])]
-            yield _batch(id=batch.column("doc_id"), tokens=packed)
 
-    return docs.withColumn("at", _bit(F.col("doc_id"))).mapInArrow(run, "id long, tokens binary")
+def _counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if len(data) == _CELLS else np.int64).astype(np.int64)
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
-    left = sets_of(docs, pairs.select(F.col("a").alias("id"))).withColumnsRenamed({"id": "a", "tokens": "x"})
-    right = sets_of(docs, pairs.select(F.col("b").alias("id"))).withColumnsRenamed({"id": "b", "tokens": "y"})
+def may_link(x: bytes, y: bytes) -> bool:
+    """False only if the histograms rule a link out."""
+    x, y = _counts(x), _counts(y)
+    shared = int(np.minimum(x, y).sum())
+    return 100 * shared >= 80 * (int(x.sum() + y.sum()) - shared)
+
+
+def links(x: bytes, y: bytes) -> bool:
+    """Whether two packed sets link."""
+    both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= 80 * (len(both) - shared)
+
+
+def holding(pairs: DataFrame, parts: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) whose ``parts`` (id, part) pass ``test``."""
+    left, right = (parts.select(F.col("id").alias(c), F.col("part").alias(p)) for c, p in (("a", "x"), ("b", "y")))
 
     def run(batches):
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * shared >= 80 * (len(x) + len(y) - shared))
+            ok = [test(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
+def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link. Histograms, far smaller than the sets,
+    first rule out pairs that cannot."""
+    for name, pack, test in (("histograms", histogram, may_link), ("sets", np.ndarray.tobytes, links)):
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+        parts = materialize(set_parts(docs, ids, pack), name, compression="zstd")
+        pairs = materialize(holding(pairs, parts, test), name)
+    return pairs
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each component of the edges (a, b), by
     alternating large and small stars until nothing changes."""
@@ -272,40 +300,43 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     several sets. An empty table gives no rows.
     """
     docs = documents(docs, id_col, text_col)
-    sets = materialize(set_table(docs), "sets")
-    classes = sets.filter("doc_id is not null and n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    of = materialize(sets.filter("doc_id is not null and n_shingles > 0").join(classes, ["d1", "d2"])
-                     .select(F.col("doc_id").alias("node"), "rep").distinct(), "classes")
-    reps = lambda pairs: pairs.join(of.withColumnsRenamed({"node": "a", "rep": "x"}), "a") \
-        .join(of.withColumnsRenamed({"node": "b", "rep": "y"}), "b").filter("x <> y") \
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-    frequent = frequent_tokens(docs, sets.count())
-    entries = index_entries(docs, frequent)
-    shared = entries.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("most")) \
-        .filter("leader < most").drop("most")
+    seen = materialize(survey(docs), "survey")
+    sets = seen.filter("token is null").select("doc_id", "n_shingles", "d1", "d2")
+    some = sets.filter("doc_id is not null and n_shingles > 0")
+    classes = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
+    of = materialize(some.join(classes, ["d1", "d2"]).select(F.col("doc_id").alias("node"), "rep").distinct(), "classes")
+
+    entries = index_entries(docs, frequent_tokens(seen, sets.count()))
+    shared = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")) \
+        .filter("head < last").drop("last")
     members = materialize(entries.join(shared.hint("shuffle_hash"), "key"), "members", compression="zstd")
 
-    stars = materialize(reps(members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()), "stars")
-    links = materialize(verify(stars, docs), "links")
-    # A document of several sets joins their classes.
-    least = of.groupBy("node").agg(F.min("rep").alias("b"))
-    links = links.unionByName(of.join(least, "node").filter("rep <> b").select(F.col("rep").alias("a"), "b"))
-    labels = materialize(components(links), "labels")
-
-    named = materialize(members.select("key", "node", "size").join(of, "node")
-                        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-                        .select("key", "rep", "size", F.coalesce("label", "rep").alias("label")).distinct(), "named", compression="zstd")
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    open_keys = named.join(mixed.hint("shuffle_hash"), "key")
+    # The star: each document against the least head of its keys.
+    stars = members.filter("node <> head").groupBy("node").agg(F.min("head").alias("head"))
+    stars = materialize(_classes(stars.select(F.col("node").alias("a"), F.col("head").alias("b")), of), "stars")
+    least = of.groupBy("node").agg(F.min("rep").alias("b"))  # a document of several sets joins their classes
+    found = verify(stars, docs).unionByName(
+        of.join(least, "node").filter("rep <> b").select(F.col("rep").alias("a"), "b"))
+
+    # All pairs across components among the documents of a key.
+    labels = components(found).withColumnRenamed("node", "rep")
+    named = of.join(labels, "rep", "left").select("node", "rep", F.coalesce("label", "rep").alias("label"))
+    named = materialize(members.select("key", "node", "size").join(named, "node").drop("node"), "named", compression="zstd")
+    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    open_keys = named.join(mixed.select("key").hint("shuffle_hash"), "key").distinct()
     across = open_keys.alias("p").join(open_keys.alias("q"), F.expr(
         "p.key = q.key and p.label <> q.label and p.rep < q.rep and 5 * least(p.size, q.size) >= 4 * greatest(p.size, q.size)")) \
         .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    rest = materialize(verify(materialize(across, "across"), docs), "rest")
-    found = labels.withColumnRenamed("node", "rep")
-    if rest.limit(1).count():
-        final = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(rest))
-        found = materialize(final, "labels").withColumnRenamed("node", "rep")
-    reach = of.join(found, "rep", "left").groupBy("node").agg(F.min(F.coalesce("label", "rep")).alias("component"))
+    found = found.unionByName(verify(materialize(across, "across"), docs))
+
+    labels = components(found).withColumnRenamed("node", "rep")
+    reach = of.join(labels, "rep", "left").groupBy("node").agg(F.min(F.coalesce("label", "rep")).alias("component"))
     return sets.join(reach.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def _classes(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents as distinct pairs of class representatives."""
+    x, y = (of.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab")
+    return pairs.join(x, "a").join(y, "b").filter("rep_a <> rep_b").select(
+        F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()

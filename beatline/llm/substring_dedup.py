@@ -11,7 +11,7 @@ strings once, with the least id of the documents that hold each, and the places
 as (document, word) lists beside them; a pack is compressed. In a bucket all
 windows are sorted by hash, equal neighbours are compared word by word, and the
 least id that holds a window decides: the window's places in other documents
-are covered. The covered runs are then joined to the documents by a row key.
+are covered. The covered runs are then joined to the documents by id and text digest.
 
 Hot groups: copies in a slice send a string once; windows at the edges of a
 common passage do not all follow the passage's hot grams, as those come last.
@@ -28,15 +28,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import (NOT_BLANK, Words, documents, grams, mix, ragged, slices, sliding_min,
-                                 utf8)
+from beatline.llm.common import (NOT_BLANK, Words, documents, grams, id_bit, id_bitmap, in_bitmap, mix,
+                                 ragged, slices, sliding_min, utf8)
+from beatline.session import materialize
 
 WINDOW = 13
 GRAM = 3
 #: Grams with at least this share of a slice's minimisers are hot.
 HOT_SHARE = 1 / 2048
+#: Texts that are packed together.
+PACK_BYTES = 8 << 20
 #: Buckets are sized for so much text each.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 3 << 20
 _HOT = np.uint64(1 << 63)
 _SALT = np.uint64(0x8CB92BA72F3D8DD7)
 
@@ -111,7 +114,7 @@ def packs(docs: DataFrame, hot: np.ndarray, n_buckets: int, window: int = WINDOW
     hot_of = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=PACK_BYTES):
             batch = batch.filter(batch.column("doc_id").is_valid())
             words = Words(utf8(batch.column("text")), NOT_BLANK)
             hashes = words.hashes()
@@ -206,14 +209,14 @@ def _least_by_words(words: Words, first: np.ndarray, owner: np.ndarray, window:
     return np.array([found[t] for t in texts], np.int64)
 
 
-def covered_runs(bucket: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row key, first window, number of windows) of the covered runs of
+def covered_runs(bucket: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+    """(id, row key, first window, number of windows) of the covered runs of
     windows, from a bucket's packs."""
     parts = [_unpack(x, *_KINDS) for x in bucket]
     text = np.concatenate([p[0] for p in parts])
     n, holder = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
     least = least_holders(text, n.astype(np.int64), holder, window)
-    out = [np.zeros((3, 0), np.int64)]
+    out = [np.zeros((4, 0), np.int64)]
     done = 0
     for _, n, _, start, of, word, ids, keys in parts:
         n = n.astype(np.int64)
@@ -232,7 +235,8 @@ def covered_runs(bucket: list[bytes], window: int) -> tuple[np.ndarray, np.ndarr
         new = np.ones(len(of_hit), bool)
         new[1:] = (of_hit[1:] != of_hit[:-1]) | (where[1:] != where[:-1] + 1)
         heads = np.flatnonzero(new)
-        out.append(np.array([keys[of[of_hit[heads]]], where[heads], np.diff(np.append(heads, len(of_hit)))]))
+        row = of[of_hit[heads]]
+        out.append(np.array([ids[row], keys[row], where[heads], np.diff(np.append(heads, len(of_hit)))]))
     return tuple(np.concatenate(out, axis=1))
 
 
@@ -259,17 +263,30 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
             for b, p in zip(batch.column("bucket").to_pylist(), batch.column("pack").to_pylist()):
                 buckets.setdefault(b, []).append(p)
         for b in list(buckets):
-            keys, first, n = covered_runs(buckets.pop(b), window)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
-                                             names=["key", "first", "n"])
+            ids, keys, first, n = covered_runs(buckets.pop(b), window)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(keys), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
+                names=["doc_id", "key", "first", "n"])
+
+    runs = materialize(sent.mapInArrow(covered, "doc_id long, key long, first int, n int").groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("first", "n")).alias("runs")), "runs", compression="zstd")
+
+    # Texts are shuffled to meet their runs only where the bitmap holds the id.
+    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(runs.select(F.col("doc_id").alias("id"))))
+    placed = docs.withColumn("at", id_bit("doc_id"))
+
+    def some(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bits.value, batch.column("at").to_numpy()))).select(["doc_id", "text", "key"])
 
-    runs = sent.mapInArrow(covered, "key long, first int, n int").groupBy("key").agg(
-        F.collect_set(F.struct("first", "n")).alias("runs"))
-    joined = docs.join(runs, "key", "left").select(
+    joined = placed.mapInArrow(some, "doc_id long, text string, key long").join(runs, ["doc_id", "key"], "left").select(
         "doc_id", "text", F.col("runs.first").alias("first"), F.col("runs.n").alias("n"))
+    whole = placed.select("doc_id", "text", "at", F.lit(None).cast("array<int>").alias("first"), F.lit(None).cast("array<int>").alias("n"))
 
     def keep(batches):
         for batch in slices(batches):
+            if "at" in batch.schema.names:
+                batch = batch.filter(pa.array(~in_bitmap(bits.value, batch.column("at").to_numpy())))
             words = Words(utf8(batch.column("text")), NOT_BLANK)
             gone = np.zeros(len(words) + 1, np.int64)
             for i, (first, n) in enumerate(zip(batch.column("first").to_pylist(), batch.column("n").to_pylist())):
@@ -292,4 +309,4 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
     names = [x.split()[0] for x in schema.split(", ")]
-    return joined.mapInArrow(keep, schema)
+    return whole.mapInArrow(keep, schema).unionByName(joined.mapInArrow(keep, schema))

@@ -16,9 +16,11 @@ segment is then traced back from its own known end.
 from __future__ import annotations
 
 import re
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,8 +116,30 @@ def _rows(chats: DataFrame, id_col: str, turn_col: str, role_col: str, text_col:
     return rows.withColumn("segment", F.floor(F.coalesce("turn", F.lit(0)) / SEGMENT))
 
 
-def _sorted(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.sort_values(["turn", "role", "text"], kind="stable", na_position="first")
+_ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "array<double>": pa.list_(pa.float64())}
+_ROW = ("conv_id", "segment", "turn", "role", "text")
+
+
+def _by_group(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], run, schema: str) -> DataFrame:
+    """Deal the rows out by ``keys``, sort them by ``keys`` and ``order``, and
+    call ``run(rows of a group) -> rows out`` for each group: one call a task,
+    not one a group. Columns are handed over as they stand."""
+    types = [_ARROW[x.split()[1]] for x in schema.split(", ")]
+    names = [x.split()[0] for x in schema.split(", ")]
+    n = len(keys)
+
+    def go(batches):
+        out = []
+        stream = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        for _, group in groupby(stream, itemgetter(*range(n))):
+            out += run(list(group))
+            if len(out) >= 2000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(go, schema)
 
 
 def fit(chats: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -124,36 +148,35 @@ def fit(chats: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_
     counts by (state, value) reach the driver."""
     rows = _rows(chats, id_col, turn_col, role_col, text_col)
 
-    def count(key, group):
+    def count(group):
         start, move = np.zeros(N, np.int64), np.zeros((N, N), np.int64)
         emit = [np.zeros((N, n), np.int64) for n in SIZES]
-        first = last = None
-        for no, r in enumerate(_sorted(group).itertuples()):
-            role = ROLE_OF.get((r.role or "").strip().lower())
+        first = last = -1
+        for no, (_, _, turn, name, text) in enumerate(group):
+            role = ROLE_OF.get((name or "").strip().lower())
             if role is None:
-                last = None
+                last = -1
                 continue
-            _, seen = lines_of(r.text, r.role)
+            _, seen = lines_of(text, name)
             # Hidden by a rule of the row alone, the same in every run.
-            if (0 if pd.isna(r.turn) else int(r.turn)) * 7919 + len(r.text or "") * 104729 & 1023 < hidden * 1024:
+            if (turn or 0) * 7919 + len(text or "") * 104729 & 1023 < hidden * 1024:
                 seen[0, 0] = 0
             states = [2 * ROLES.index(role) + (i > 0) for i in range(len(seen))]
             if no == 0:
                 first = states[0]
-            if last is not None:
+            if last >= 0:
                 move[last, states[0]] += 1
             np.add.at(move, (states[:-1], states[1:]), 1)
             for f, e in enumerate(emit):
                 np.add.at(e, (states, seen[:, f]), 1)
             last = states[-1]
-        found = [("move", s, t, n) for (s, t), n in np.ndenumerate(move) if n]
-        found += [(f"emit{f}", s, v, n) for f, e in enumerate(emit) for (s, v), n in np.ndenumerate(e) if n]
-        found += [("edge", -1 if first is None else first, -1 if last is None else last, 1)]
-        out = pd.DataFrame(found, columns=["what", "a", "b", "n"])
-        return out.assign(conv_id=key[0], segment=key[1])
-
-    counted = rows.groupBy("conv_id", "segment").applyInPandas(
-        count, "what string, a int, b int, n long, conv_id string, segment long")
+        conv, segment = group[0][:2]
+        found = [("move", s, t, int(move[s, t]), conv, segment) for s, t in zip(*np.nonzero(move))]
+        found += [(f"emit{f}", s, v, int(e[s, v]), conv, segment) for f, e in enumerate(emit) for s, v in zip(*np.nonzero(e))]
+        return [*found, ("edge", first, last, 1, conv, segment)]
+
+    counted = _by_group(rows.select(*_ROW), ("conv_id", "segment"), ("turn", "role", "text"), count,
+                        "what string, a int, b int, n long, conv_id string, segment long")
     by_conversation = Window.partitionBy("conv_id").orderBy("segment")  # a row for each segment
     edges = counted.filter("what = 'edge'").withColumn("last", F.lag("b").over(by_conversation)) \
         .filter("a >= 0").select(F.when(F.col("last").isNull(), "start").when(F.col("last") >= 0, "move").alias("what"),
@@ -183,45 +206,43 @@ def format_chats(chats: DataFrame, model: Model, id_col: str = "conv_id", turn_c
     """
     rows = _rows(chats, id_col, turn_col, role_col, text_col)
 
-    def reduce(key, group):
-        seen = np.concatenate([lines_of(r.text, r.role)[1] for r in _sorted(group).itertuples()])
-        return pd.DataFrame({"conv_id": [key[0]], "segment": [key[1]], "first": [model.path(seen, None)[-1]],
-                             "best": [model.matrix(seen).ravel()], "opening": [(model.start + model.scores(seen[:1])[0])],
-                             "rest": [model.matrix(seen[1:]).ravel() if len(seen) > 1 else None]})
+    def reduce(group):
+        seen = np.concatenate([lines_of(text, name)[1] for _, _, _, name, text in group])
+        rest = model.matrix(seen[1:]).ravel().tolist() if len(seen) > 1 else None
+        opening = (model.start + model.scores(seen[:1])[0]).tolist()
+        return [(*group[0][:2], model.matrix(seen).ravel().tolist(), opening, rest)]
 
-    reduced = rows.groupBy("conv_id", "segment").applyInPandas(
-        reduce, "conv_id string, segment long, first int, best array<double>, opening array<double>, rest array<double>")
+    reduced = _by_group(rows.select(*_ROW), ("conv_id", "segment"), ("turn", "role", "text"), reduce,
+                        "conv_id string, segment long, best array<double>, opening array<double>, rest array<double>")
 
-    def chain(key, group):
+    def chain(group):
         """The state before and at the end of each segment."""
-        group = group.sort_values("segment")
         at, back = None, []
-        for r in group.itertuples():
+        for _, _, best, opening, rest in group:
             if at is None:
-                at = np.array(r.opening)
-                if r.rest is not None:
-                    at = (at[:, None] + np.array(r.rest).reshape(N, N)).max(0)
+                at = np.array(opening)
+                if rest is not None:
+                    at = (at[:, None] + np.array(rest).reshape(N, N)).max(0)
             else:
-                options = at[:, None] + np.array(r.best).reshape(N, N)
+                options = at[:, None] + np.array(best).reshape(N, N)
                 back.append(options.argmax(0))
                 at = options.max(0)
         end = [int(at.argmax())]
         for step in reversed(back):
             end.append(int(step[end[-1]]))
         end = end[::-1]
-        return pd.DataFrame({"conv_id": key[0], "segment": group.segment.to_numpy(), "before": [-1, *end[:-1]], "end": end})
+        return [(r[0], r[1], b, e) for r, b, e in zip(group, [-1, *end[:-1]], end)]
 
-    ends = reduced.groupBy("conv_id").applyInPandas(chain, "conv_id string, segment long, before int, end int")
+    ends = _by_group(reduced, ("conv_id",), ("segment",), chain, "conv_id string, segment long, before int, end int")
     joined = rows.join(ends, rows.conv_id.eqNullSafe(ends.conv_id) & (rows.segment == ends.segment)) \
-        .select(rows["*"], "before", "end")
+        .select(*[rows[c] for c in _ROW], "before", "end")
 
-    def render(key, group):
-        group = _sorted(group)
-        cut = [lines_of(r.text, r.role) for r in group.itertuples()]
-        before, end = int(group.before.iloc[0]), int(group.end.iloc[0])
+    def render(group):
+        cut = [lines_of(r[4], r[3]) for r in group]
+        before, end = group[0][5:]
         states = model.path(np.concatenate([s for _, s in cut]), None if before < 0 else before, end)
         out, at = [], 0
-        for r, (lines, seen) in zip(group.itertuples(), cut):
+        for (conv, _, turn, *_), (lines, seen) in zip(group, cut):
             turns = []
             for line, features, state in zip(lines, seen, states[at:at + len(lines)]):
                 role, begins = STATES[state]
@@ -231,9 +252,9 @@ def format_chats(chats: DataFrame, model: Model, id_col: str = "conv_id", turn_c
             at += len(lines)
             for part, (role, marked, text) in enumerate(turns):
                 text = "\n".join(text).strip()
-                out.append((key[0], None if pd.isna(r.turn) else int(r.turn), part, marked, role, text, f"<|{role}|>\n{text}\n<|end|>"))
-        return pd.DataFrame(out, columns=["conv_id", "turn", "part", "marked", "role", "text", "rendered"]).astype({"turn": "Int64"})
+                out.append((conv, turn, part, marked, role, text, f"<|{role}|>\n{text}\n<|end|>"))
+        return out
 
-    return joined.groupBy("conv_id", "segment").applyInPandas(
-        render, "conv_id string, turn long, part int, marked string, role string, text string, rendered string") \
+    return _by_group(joined, ("conv_id", "segment"), ("turn", "role", "text"), render,
+                     "conv_id string, turn long, part int, marked string, role string, text string, rendered string") \
         .withColumn("conv_id", F.col("conv_id").cast("long"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from beatline.llm import chat, decontaminate, jaccard, licenses, packing, quality, secrets, substring_dedup, token_counts, warc
 from beatline.llm.common import table
+from beatline.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_best_fit_packing(spark, sf_dir):
@@ -54,5 +55,3 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_substring_dedup, op3_quality_rules, op4_decontamination, op5_secret_scans, op6_jaccard_join,
     op7_chat_formatting, op8_license_scans, op9_warc, op10_token_counts)}
-
-ORACLE: dict[str, str] = {}

@@ -17,10 +17,11 @@ least overlap. So:
 No link is lost, and a key's documents are candidates. They are verified in
 two rounds. First a star: each document is tried against one head, the least
 document of its keys, which is linear in the documents, and a group of copies
-becomes one component. Then, among keys whose documents
-still lie in several components, all pairs across components are tried; a
-histogram of hash cells bounds what two sets can share and rules most of them
-out. Equal sets are one class throughout, so copies are never paired. Shingles
+mostly becomes one component. Among crowded keys that still hold several, other
+heads are tried while that pays. Then, among keys whose documents still lie in
+several components, all pairs across components are tried. Two bounds that hold
+for certain rule most out before sets are compared: the parity of hash cells,
+within the join, and a histogram of hash cells. Equal sets are one class throughout, so copies are never paired. Shingles
 are compared by 64-bit hashes.
 """
 
@@ -43,7 +44,14 @@ FREQUENT_SHARE = 1 / 20_000
 MOST_FREQUENT = 1 << 20
 #: Tokens counted together when frequent ones are looked for.
 BLOCK_TOKENS = 4_000_000
+#: A key with at least so many documents is crowded; stars go on among these.
+CROWD = 24
+#: At most so many more rounds, and only while this share of tried pairs links.
+ROUNDS = 8
+WORTH = 0.02
 _CELLS = 256
+_PARITY = 256
+_LANES = ("b0", "b1", "b2", "b3")
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -71,6 +79,19 @@ class Sets:
         self.size = np.diff(self.first)
         self.digest = [self._sum(mix(self.tokens.copy())), self._sum(mix(self.tokens ^ _SECOND))]
 
+    def parity(self) -> list[np.ndarray]:
+        """Four longs for each set: whether each of ``_PARITY`` cells holds an odd
+        number of its tokens. Cells that differ between two sets each hold a
+        token that they do not share."""
+        cell = (self.tokens >> np.uint64(20)) % np.uint64(_PARITY)
+        bit = np.uint64(1) << (cell & np.uint64(63))
+        lane = (cell >> np.uint64(6)).astype(np.int64)
+        out = []
+        for j in range(_PARITY // 64):
+            total = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(np.where(lane == j, bit, np.uint64(0)))])
+            out.append((total[self.first[1:]] ^ total[self.first[:-1]]).view(np.int64))
+        return out
+
     def _sum(self, values: np.ndarray) -> np.ndarray:
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
         return (total[self.first[1:]] - total[self.first[:-1]]).view(np.int64)
@@ -95,10 +116,10 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: (doc_id, n_shingles, d1, d2) of every row, and,
-    with a ``token``, the tokens that a block of about ``BLOCK_TOKENS`` tokens of
+    """One pass over the texts: (doc_id, n_shingles, d1, d2, b0 to b3: the parity)
+    of every row, and, with a ``token``, the tokens that a block of about ``BLOCK_TOKENS`` tokens of
     distinct sets holds three times or more, and how often (``n``)."""
-    names = ["doc_id", "n_shingles", "d1", "d2", "token", "n"]
+    names = ["doc_id", "n_shingles", "d1", "d2", *_LANES, "token", "n"]
 
     def often(block: list[np.ndarray]) -> pa.RecordBatch:
         tokens = np.sort(np.concatenate([np.zeros(0, np.uint64), *block]))
@@ -106,7 +127,7 @@ def survey(docs: DataFrame) -> DataFrame:
         n = np.diff(np.append(head, len(tokens)))
         head, n = head[n > 2], n[n > 2]
         nothing = pa.nulls(len(n), pa.int64())
-        return pa.RecordBatch.from_arrays([nothing] * 4 + [pa.array(tokens[head].view(np.int64)), pa.array(n)], names=names)
+        return pa.RecordBatch.from_arrays([nothing] * 8 + [pa.array(tokens[head].view(np.int64)), pa.array(n)], names=names)
 
     def run(batches):
         block, held, seen = [], 0, set()
@@ -120,14 +141,14 @@ def survey(docs: DataFrame) -> DataFrame:
             held += len(block[-1])
             nothing = pa.nulls(batch.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets.size.astype(np.int64)), *map(pa.array, sets.digest), nothing, nothing],
-                names=names)
+                [batch.column("doc_id"), pa.array(sets.size.astype(np.int64)), *map(pa.array, sets.digest),
+                 *map(pa.array, sets.parity()), nothing, nothing], names=names)
             if held > BLOCK_TOKENS:
                 yield often(block)
                 block, held, seen = [], 0, set()
         yield often(block)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, token long, n long")
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def frequent_tokens(seen: DataFrame, n_docs: int, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -302,9 +323,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = documents(docs, id_col, text_col)
     seen = materialize(survey(docs), "survey")
     sets = seen.filter("token is null").select("doc_id", "n_shingles", "d1", "d2")
-    some = sets.filter("doc_id is not null and n_shingles > 0")
+    some = seen.filter("token is null and doc_id is not null and n_shingles > 0")
     classes = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    of = materialize(some.join(classes, ["d1", "d2"]).select(F.col("doc_id").alias("node"), "rep").distinct(), "classes")
+    some = materialize(some.join(classes, ["d1", "d2"]).select("doc_id", "rep", "n_shingles", *_LANES).distinct(), "classes")
+    of = some.select(F.col("doc_id").alias("node"), "rep")
+    shapes = some.filter("doc_id = rep").select("rep", F.col("n_shingles").alias("size"), *_LANES)
 
     entries = index_entries(docs, frequent_tokens(seen, sets.count()))
     shared = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")) \
@@ -318,15 +341,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = verify(stars, docs).unionByName(
         of.join(least, "node").filter("rep <> b").select(F.col("rep").alias("a"), "b"))
 
+    # More stars among the documents of crowded keys, with other heads.
+    tried = stars
+    named = materialize(members.select("key", "node").join(of, "node").select("key", "rep").distinct(), "named", compression="zstd")
+    for i in range(ROUNDS):
+        crowded = _mixed(_labelled(named, found), CROWD)
+        heads = crowded.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("by"), "rep", "label")).alias("head"))
+        pairs = crowded.join(heads, "key").filter("label <> head.label").groupBy("rep").agg(
+            F.min(F.struct(F.xxhash64("head.rep", "rep").alias("by"), F.col("head.rep").alias("rep"))).alias("head"))
+        pairs = pairs.select(F.least("rep", "head.rep").alias("a"), F.greatest("rep", "head.rep").alias("b")).distinct()
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "stars")
+        new = verify(pairs, docs)
+        tried, found = tried.unionByName(pairs), found.unionByName(new)
+        if new.count() <= WORTH * pairs.count():
+            break
+
     # All pairs across components among the documents of a key.
-    labels = components(found).withColumnRenamed("node", "rep")
-    named = of.join(labels, "rep", "left").select("node", "rep", F.coalesce("label", "rep").alias("label"))
-    named = materialize(members.select("key", "node", "size").join(named, "node").drop("node"), "named", compression="zstd")
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_keys = named.join(mixed.select("key").hint("shuffle_hash"), "key").distinct()
-    across = open_keys.alias("p").join(open_keys.alias("q"), F.expr(
-        "p.key = q.key and p.label <> q.label and p.rep < q.rep and 5 * least(p.size, q.size) >= 4 * greatest(p.size, q.size)")) \
-        .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    shaped = _mixed(_labelled(named, found)).join(shapes, "rep")
+    differ = " + ".join(f"bit_count(p.{c} ^ q.{c})" for c in _LANES)
+    across = shaped.alias("p").join(shaped.alias("q"), F.expr(
+        "p.key = q.key and p.label <> q.label and p.rep < q.rep and 5 * least(p.size, q.size) >= 4 * greatest(p.size, q.size) "
+        f"and 9 * ({differ}) <= p.size + q.size")) \
+        .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     found = found.unionByName(verify(materialize(across, "across"), docs))
 
     labels = components(found).withColumnRenamed("node", "rep")
@@ -335,6 +371,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _labelled(named: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, rep, label): the members with their components so far."""
+    labels = materialize(components(found).withColumnRenamed("node", "rep"), "labels")
+    return named.join(labels, "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
+
+
+def _mixed(named: DataFrame, least: int = 2) -> DataFrame:
+    """The members of the keys that hold several components and at least
+    ``least`` documents."""
+    keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")) \
+        .filter(f"low < high and n >= {least}").select("key")
+    return materialize(named.join(keys.hint("shuffle_hash"), "key"), "mixed", compression="zstd")
+
+
 def _classes(pairs: DataFrame, of: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents as distinct pairs of class representatives."""
     x, y = (of.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab")

@@ -172,7 +172,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     texts counts once. Rows with a null or repeated id each get their own
     result. Without items nothing is contaminated.
     """
-    own = {f"keep_{i}": (c, dict(docs.dtypes)[c]) for i, c in enumerate(keep)}
+    own = {f"keep_{i}": (c, dict(docs.dtypes)[c]) for i, c in enumerate(keep) if c != text_col}
     rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"), **own).withColumns({
         "n_words": F.lit(0).cast("long"), "places": F.array().cast("array<long>"), "items": F.array().cast("array<long>")})
     items = pick(benchmark, item_id=(item_col, "long"), text=(item_text_col, "string")) \
@@ -184,13 +184,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             rows = materialize(rows, "decontaminate", compression="zstd")
 
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "places", "items"]
-    kept = [f"keep_{i}" for i in range(len(keep))]
+    kept = [*own, *["text"] * (text_col in keep)]
     out = rows.withColumns({
         "n_hit": F.size("places").cast("long"), "n_items": F.size("items").cast("long"),
         "items_sha256": F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ","), 256),
         "contaminated": F.size("places") > 0,
     }).select(*(names if spans else names[:6]), *kept)
-    return out.withColumnsRenamed(dict(zip(kept, keep))) if keep else out
+    return out.withColumnsRenamed({c: name for c, (name, _) in own.items()} | {"text": text_col})
 
 
 def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]]) -> list[tuple]:

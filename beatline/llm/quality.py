@@ -28,6 +28,8 @@ PRIOR = 100_000
 TRUSTED_ROWS = 50_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: Texts scored at once.
+SCORED_BYTES = 2 << 20
 _POINT = 1 << 20
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -124,14 +126,15 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id
     the threshold is kept. ``keep``: input columns handed on, as they are.
     Windows of three words are told apart by 64-bit hashes.
     """
-    own = {f"keep_{i}": (c, dict(docs.dtypes)[c]) for i, c in enumerate(keep)}
+    own = {f"keep_{i}": (c, dict(docs.dtypes)[c]) for i, c in enumerate(keep) if c != text_col}
+    kept_text = ["text"] if text_col in keep else []
     docs = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"), **own)
     weights = fit_weights(docs.select("doc_id", "text"), trusted_ids(labels, most=most_trusted))
     table = docs.sparkSession.sparkContext.broadcast(weights)
     least = round(threshold * _POINT)
 
     def score(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=SCORED_BYTES):
             texts = utf8(batch.column("text"))
             words = Words(texts, NOT_BLANK)
             hashes = words.hashes()
@@ -143,11 +146,11 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id
             failed = (n < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n)
             out = [batch.column("doc_id"), n, chars, symbols, lines, repeats, failed,
                    total / _POINT / np.maximum(grams_in, 1), ~failed & (total >= least * grams_in)]
-            out += [batch.column(c) for c in own]
+            out += [batch.column(c) for c in [*own, *kept_text]]
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out], names=names)
 
     schema = f"doc_id long, {FEATURES}, base_failed boolean, score double, kept boolean"
-    names = [x.split()[0] for x in schema.split(", ")] + list(own)
-    schema += "".join(f", {c} {kind}" for c, (_, kind) in own.items())
+    names = [x.split()[0] for x in schema.split(", ")] + [*own, *kept_text]
+    schema += "".join(f", {c} {kind}" for c, (_, kind) in own.items()) + ", text string" * len(kept_text)
     out = docs.mapInArrow(score, schema)
-    return out.withColumnsRenamed(dict(zip(own, keep))) if keep else out
+    return out.withColumnsRenamed({c: name for c, (name, _) in own.items()} | {"text": text_col})

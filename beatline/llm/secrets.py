@@ -176,20 +176,20 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_
     id each get their own row. Candidates are found by a digest of id and text:
     equal digests only add rules to verify. An empty table gives no rows.
     """
-    own = {f"keep_{i}": (c, dict(docs.dtypes)[c]) for i, c in enumerate(keep)}
-    rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"), **own)
-    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", F.xxhash64("doc_id", "text"))
-    found = candidates(rows.select("key", "text"), rules)
+    own = {f"keep_{i}": (c, dict(docs.dtypes)[c]) for i, c in enumerate(keep) if c != text_col}
+    rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"), **own).withColumn("key", F.xxhash64("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    found = candidates(rows.select("key", text.alias("text")), rules)
     joined = rows.join(found.hint("shuffle_hash"), "key", "left")
     parts = []
     for no, rule in enumerate(rules):
-        spans = F.transform(spans_of(F.col("text"), rule), named(no, rule.kind))
+        spans = F.transform(spans_of(text, rule), named(no, rule.kind))
         if trigram_query(rule.pattern):
             spans = F.when(F.array_contains("rules", no), spans)
         parts.append(F.coalesce(spans, F.array().cast("array<struct<start:int,rule:int,end:int,kind:string>>")))
-    kept = list(own)
+    kept = [*own, *["text"] * (text_col in keep)]
     out = joined.select("doc_id", *kept, F.array_sort(F.concat(*parts)).alias("found"))
-    return out.withColumnsRenamed(dict(zip(kept, keep))) if keep else out
+    return out.withColumnsRenamed({c: name for c, (name, _) in own.items()} | {"text": text_col})
 
 
 def redacted(text: Column, found: Column) -> Column:

@@ -68,10 +68,11 @@ def row_hash(key, seed: int = 42) -> Column:
     """Hex md5 of ``seed|key``: a repeatable per-row random string.
 
     Identical in Spark and DuckDB, and stable under re-execution (a retried
-    task draws the same rows, unlike ``rand()``).
+    task draws the same rows, unlike ``rand()``). A null key hashes like an
+    empty one, so no row is lost for it.
     """
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def hash_threshold(p: float) -> str:
@@ -104,28 +105,13 @@ def shuffled_cap(df: DataFrame, n: int, seed: int = 42,
                  key: str = "incident_key", order_seed: int | None = None) -> DataFrame:
     """At most ``n`` rows in random order (F7): ``ORDER BY rand() LIMIT n``.
 
-    The order is a per-row hash, so it is repeatable. A plain
-    ``orderBy.limit`` merges ``n`` rows from every task in one task; when
-    ``n`` is large that final merge is the bottleneck. So the row count is
-    read first; when the cap binds, rows whose hash prefix lies above a
-    threshold expected to keep about ``2n`` rows are dropped map-side, and
-    the threshold widens until at least ``n`` rows pass. The result is the
-    same ``n`` rows as the unfiltered sort.
+    The order is a per-row hash, so it is repeatable, and one plan at every
+    size: each task keeps its own first ``n`` rows and only those are merged
+    (TakeOrderedAndProject; a sort where ``n`` exceeds Spark's top-k limit).
+    Rows with a null key take part like others.
     """
-    order_seed = seed if order_seed is None else order_seed
-    h = row_hash(key, order_seed)
-    ordered = df.withColumn("_order", h)
-    total = df.count()
-    if total > n:
-        p = min(1.0, 2.0 * n / total)
-        while True:
-            cand = ordered.filter(F.substring("_order", 1, _HASH_DIGITS)
-                                  < F.lit(hash_threshold(p)))
-            if p >= 1.0 or cand.count() >= n:
-                ordered = cand
-                break
-            p = min(1.0, p * 2)
-    return (ordered.orderBy(F.col("_order"), F.col(key)).limit(n).drop("_order"))
+    order = row_hash(key, seed if order_seed is None else order_seed)
+    return df.orderBy(order, F.col(key)).limit(n)
 
 
 def cap(df: DataFrame, n: int) -> DataFrame:
@@ -135,8 +121,10 @@ def cap(df: DataFrame, n: int) -> DataFrame:
 
 def chronological_split(df: DataFrame, col: str = "year", cut: int = 2021
                         ) -> tuple[DataFrame, DataFrame]:
-    """(rows with ``col <= cut``, rows with ``col > cut``)."""
-    return df.filter(F.col(col) <= cut), df.filter(F.col(col) > cut)
+    """(rows with ``col <= cut``, all others) (F10). A row without a year is
+    in the second part, so the parts add up to the input."""
+    early = F.coalesce(F.col(col) <= cut, F.lit(False))
+    return df.filter(early), df.filter(~early)
 
 
 def with_split_flag(df: DataFrame, col: str = "year", cut: int = 2021,

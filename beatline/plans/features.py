@@ -15,14 +15,12 @@ from beatline.functions.text import keyword_group
 from beatline.operators.filters import drop_null_keys, require_not_null, year_between
 from beatline.schema import COORD_COLUMNS, KEYS_V1, KEYS_V2, RAW_COLUMNS
 
-DEFAULT_YEARS = (1995, 2000)
 
-
-def extract_incidents(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS,
+def extract_incidents(incidents: DataFrame, years: tuple[int, int] | None = None,
                       ts: str = "date", carry: Sequence[str] = ("incident_key",)
                       ) -> DataFrame:
-    """Rows with a timestamp, type and district in the year range,
-    the timestamp replaced by year, month, day_of_week, hour_of_day.
+    """Rows with a timestamp, type and district, in the year range if one
+    is given, the timestamp replaced by year, month, day_of_week, hour_of_day.
 
     ``carry`` columns (an identifier) are kept in front when present.
     """
@@ -56,6 +54,6 @@ def add_row_features(df: DataFrame, version: int = 2) -> DataFrame:
 
 
 def cleaned_features(incidents: DataFrame, version: int = 2,
-                     years: tuple[int, int] | None = DEFAULT_YEARS) -> DataFrame:
+                     years: tuple[int, int] | None = None) -> DataFrame:
     """Extract -> clean -> row features."""
     return add_row_features(clean(extract_incidents(incidents, years), version), version)

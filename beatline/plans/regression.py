@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from beatline.operators.filters import with_split_flag
 from beatline.operators.panel import monthly_panel
 from beatline.plans.classification import build_v2
-from beatline.plans.features import DEFAULT_YEARS
 from beatline.session import checkpoint_small
 
 # Naive forecasts read off the panel's own history columns.
@@ -17,7 +16,7 @@ BASELINES = [("rolling_mean", "rolling_avg_3m"),
              ("last_year", "crime_count_yoy")]
 
 
-def panel_from_incidents(incidents: DataFrame, years: tuple[int, int] = DEFAULT_YEARS,
+def panel_from_incidents(incidents: DataFrame, years: tuple[int, int] | None = None,
                          n_types: int = 10, n_locations: int = 50) -> DataFrame:
     """D5 over the classification set (top types only, as the panel is
     built from the saved classification rows).

@@ -96,25 +96,8 @@ def incidents_from_tables(lineitem: DataFrame, part: DataFrame,
     return joined.selectExpr(*[f"{expr} AS {name}" for name, expr in VIEW_COLUMNS])
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A Parquet file with a single row group is read by a single task however
-    large it is; every stage downstream of it then runs on one core. A
-    table laid out in many files or row groups (any large input) already
-    has at least ``defaultParallelism`` splits and is returned unchanged,
-    so no shuffle is added where the scan is already parallel.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session)
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def fixture_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident DataFrame over ``{sf_dir}/{lineitem,part,supplier}.parquet``."""
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return incidents_from_tables(spread_small_scan(read("lineitem")), read("part"),
+    return incidents_from_tables(read("lineitem"), read("part"),
                                  read("supplier"))

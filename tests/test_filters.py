@@ -63,3 +63,37 @@ def test_chronological_split_is_partition(spark):
     train, test = filters.chronological_split(df, "year", 2021)
     assert train.count() + test.count() == 40
     assert train.filter("year > 2021").count() == 0 and test.filter("year <= 2021").count() == 0
+
+
+def test_null_keys_are_kept(spark):
+    rows = [(None if i % 10 == 0 else f"k{i}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "incident_key string, v int")
+    assert filters.sample_fraction(df, 1.0).count() == 1000
+    assert filters.shuffled_cap(df, 5000).count() == 1000
+    whole = [r.v for r in filters.shuffled_cap(df, 5000).collect()]
+    capped = [r.v for r in filters.shuffled_cap(df, 150).collect()]
+    null = {i for i in range(0, 1000, 10)}
+    assert [v for v in whole if v not in null][:len([v for v in capped if v not in null])] == [v for v in capped if v not in null]
+    assert len(null & set(whole[:150])) == len(null & set(capped))
+
+
+def test_chronological_split_keeps_rows_without_a_year(spark):
+    df = spark.createDataFrame([(2020,), (2022,), (None,)], "year int")
+    train, test = filters.chronological_split(df)
+    assert train.count() == 1 and test.count() == 2
+
+
+def test_default_window_keeps_every_year(spark):
+    from beatline.plans.features import extract_incidents
+    from beatline.schema import COORD_COLUMNS, RAW_COLUMNS
+    df = spark.range(90).selectExpr("cast(id as string) incident_key", "timestamp_seconds(1420070400 + id * 3155760) date",
+                                    *[f"cast('1' as string) {c}" for c in [*RAW_COLUMNS, *COORD_COLUMNS]])
+    years = extract_incidents(df).groupBy("year").count().collect()
+    assert sum(r["count"] for r in years) == 90 and {2015, 2023} <= {r.year for r in years}
+
+
+def test_year_window_reaches_a_stored_tables_scan(spark, tmp_dir):
+    df = spark.range(100).selectExpr("timestamp_seconds(1420070400 + id * 3155760) date", "id")
+    df.write.parquet(f"{tmp_dir}/t")
+    plan = filters.year_between(spark.read.parquet(f"{tmp_dir}/t"), 2016, 2017)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2016-01-01" in plan and "LessThan(date,2018-01-01" in plan

@@ -25,20 +25,41 @@ def read_incidents(spark: SparkSession, source: str, format: str = "parquet",
     return reader.load(source)
 
 
+#: What both sides agree on, so that any text survives: quotes are doubled (as
+#: other CSV writers do), spaces are kept, an empty string is ``""`` and a null
+#: is an empty field.
+CSV_OPTIONS = {
+    "header": "true", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "", "emptyValue": '""',
+}
+#: What a quoted empty field is read as before it becomes an empty string: the
+#: reader takes any value equal to ``nullValue``, quoted or not, for a null.
+_EMPTY = "\ue000empty\ue000"
+
+
 def read_csv(spark: SparkSession, path: str,
-             schema: T.StructType | None = None) -> DataFrame:
+             schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header row.
 
     With a declared schema the file is read once; without one Spark infers
     types in an extra pass (``True``/``False`` become boolean, empty fields
     null). Malformed values become null instead of failing the job.
+
+    ``multi_line``: fields may hold line breaks. Such a file cannot be split,
+    so its rows are read by one task; write many files (``write_table`` writes
+    one a task), or pass False where no field holds a line break.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.options(**CSV_OPTIONS).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+    reader = reader.option("emptyValue", _EMPTY)
     if schema is None:
         reader = reader.option("inferSchema", True)
     else:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    df = reader.csv(path)
+    return df.select(*[
+        F.when(F.col(f"`{f.name}`") != _EMPTY, F.col(f"`{f.name}`")).when(F.col(f"`{f.name}`") == _EMPTY, "").alias(f.name)
+        if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def write_table(df: DataFrame, path: str, format: str = "csv",
@@ -50,7 +71,7 @@ def write_table(df: DataFrame, path: str, format: str = "csv",
     """
     writer = df.write.mode(mode).format(format)
     if format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -10,21 +10,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def percent_of(part, total, digits: int = 2) -> Column:
-    """round(part * 100 / total, digits) in double arithmetic."""
-    return F.round(_c(part).cast("double") * F.lit(100.0) / _c(total), digits)
-
-
 def percent_of_count(part, total, digits: int = 2) -> Column:
     """Percent of two integer counts rounded half-up to ``digits`` decimals,
     in exact integer arithmetic (no binary rounding at the boundary):
-    ``(part * 2 * 10^(digits+2) + total) div (2 * total) / 10^digits``.
+    ``(part * 2 * 10^(digits+2) + total) div (2 * total) / 10^digits``, with
+    ``div`` on 64-bit integers, so up to counts of about 4e14 at two digits.
     A zero total gives null."""
     scale = 2 * 10 ** (digits + 2)
     part, total = _c(part).cast("bigint"), _c(total).cast("bigint")
-    num = part * scale + total
-    den = total * 2
-    quotient = ((num - F.pmod(num, den)) / den).cast("bigint")
+    quotient = F.call_function("div", part * scale + total, total * 2)
     return F.when(total != 0, quotient.cast("double") / F.lit(float(10 ** digits)))
 
 
@@ -43,9 +37,3 @@ def argmax_index(arr) -> Column:
 def round_half_even(c, digits: int = 0) -> Column:
     """Banker's rounding, as numpy's ``round``."""
     return F.bround(_c(c), digits)
-
-
-def safe_div(num, den) -> Column:
-    """num / den, null when den is 0 (0/0 handled by the caller)."""
-    den = _c(den)
-    return F.when(den != 0, _c(num) / den)

@@ -33,7 +33,7 @@ def test_quotas_match_largest_remainder(spark, counts, frac):
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 10**9), st.integers(1, 10**9)), min_size=1,
+@given(st.lists(st.tuples(st.integers(0, 10**12), st.integers(1, 2 * 10**12)), min_size=1,
                 max_size=30))
 def test_percent_rounding_exact(spark, pairs):
     pairs = [(min(a, b), b) for a, b in pairs]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from beatline.operators.encoders import (
     apply_code_table, collect_code_maps, frequency_code_table, map_lookup, top_n_keys,
 )
-from beatline.plans.features import DEFAULT_YEARS, cleaned_features
+from beatline.plans.features import cleaned_features
 from beatline.schema import FEATURES_V1, FEATURES_V2
 from beatline.session import checkpoint_small
 
@@ -49,22 +49,27 @@ def _type_codes(counts_source: DataFrame, n_types: int, weight: str | None) -> D
     return frequency_code_table(top, "primary_type", code_name="label")
 
 
-def build_v2(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS,
-             n_types: int = 10, n_locations: int = 50, other: str = OTHER,
-             key: str | None = "incident_key") -> ClassificationSet:
-    d2 = cleaned_features(incidents, 2, years)
+@dataclass
+class CodeTables:
+    types: DataFrame         # primary_type, n, label (top N, freq order)
+    location_top: DataFrame  # location_description, n (top N)
+    locations: DataFrame     # location_description_clean, n, location_encoded
+    descriptions: DataFrame  # description_grouped, n, description_encoded
+
+
+def fit_codes(d2: DataFrame, n_types: int = 10, n_locations: int = 50,
+              other: str = OTHER) -> CodeTables:
+    """Every list and code table, read off the profile of the cleaned rows."""
     profile = checkpoint_small(
         d2.groupBy("location_description", "description_grouped", "primary_type")
         .agg(F.count(F.lit(1)).alias("n")))
-
     types = _type_codes(profile, n_types, "n")
     loc_top = top_n_keys(profile, "location_description", n_locations, weight="n")
 
-    # Location counts after bucketing: each profile row takes its clean
-    # value from the (broadcast, N-row) top list.
+    # Location counts after bucketing: each profile row takes its clean value
+    # from the top list.
     top_keys = loc_top.select(F.col("location_description").alias("_top"))
-    loc_clean = (profile.join(F.broadcast(top_keys),
-                              profile["location_description"] == F.col("_top"), "left")
+    loc_clean = (profile.join(top_keys, profile["location_description"] == F.col("_top"), "left")
                  .select(F.when(F.col("_top").isNotNull(), F.col("location_description"))
                          .otherwise(F.lit(other)).alias("location_description_clean"),
                          "n"))
@@ -74,12 +79,19 @@ def build_v2(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS
     desc_codes = frequency_code_table(
         profile.groupBy("description_grouped").agg(F.sum("n").alias("n")),
         "description_grouped", code_name="description_encoded")
+    return CodeTables(types, loc_top, loc_codes, desc_codes)
 
+
+def build_v2(incidents: DataFrame, years: tuple[int, int] | None = None,
+             n_types: int = 10, n_locations: int = 50, other: str = OTHER,
+             key: str | None = "incident_key") -> ClassificationSet:
+    d2 = cleaned_features(incidents, 2, years)
+    codes = fit_codes(d2, n_types, n_locations, other)
     fitted = collect_code_maps({
-        "type": (types, "primary_type", "label"),
-        "top": (loc_top.withColumn("_none", F.lit(None)), "location_description", "_none"),
-        "location": (loc_codes, "location_description_clean", "location_encoded"),
-        "description": (desc_codes, "description_grouped", "description_encoded"),
+        "type": (codes.types, "primary_type", "label"),
+        "top": (codes.location_top.withColumn("_none", F.lit(None)), "location_description", "_none"),
+        "location": (codes.locations, "location_description_clean", "location_encoded"),
+        "description": (codes.descriptions, "description_grouped", "description_encoded"),
     })
     top_types = list(fitted["type"])
     clean = (F.when(F.col("location_description").isin(list(fitted["top"])),
@@ -91,10 +103,10 @@ def build_v2(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS
                         map_lookup(fitted["description"], "description_grouped")))
     keep = ([key] if key and key in d2.columns else [])
     rows = rows.select(*keep, *FEATURES_V2, "label", "primary_type")
-    return ClassificationSet(rows, types, loc_top, loc_codes, desc_codes, d2)
+    return ClassificationSet(rows, codes.types, codes.location_top, codes.locations, codes.descriptions, d2)
 
 
-def build_v1(incidents: DataFrame, years: tuple[int, int] | None = DEFAULT_YEARS,
+def build_v1(incidents: DataFrame, years: tuple[int, int] | None = None,
              n_types: int = 10, key: str | None = "incident_key") -> ClassificationSet:
     """v1: 8 key columns, 10 features; the saved values are unscaled."""
     d2 = cleaned_features(incidents, 1, years)
@@ -113,12 +125,3 @@ def alphabetical_labels(rows: DataFrame, col: str = "primary_type",
     counts = rows.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     return (frequency_code_table(counts, col, code_name=out, order="alphabetAsc")
             .select(col, F.col(out).cast("int").alias(out), "n"))
-
-
-def relabel_alphabetical(rows: DataFrame, col: str = "primary_type",
-                         out: str = "label", bound: int | None = None) -> DataFrame:
-    """Replace ``label`` by the alphabetical code of ``col`` (the classifier's
-    label, recomputed after the frequency label was written)."""
-    table = alphabetical_labels(rows, col, out)
-    base = rows.drop(out) if out in rows.columns else rows
-    return apply_code_table(base, table, col, out, bound=bound)

@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatline.functions.text import DESCRIPTION_RULES, group_names
-from beatline.operators.encoders import collect_code_maps, map_lookup
-from beatline.operators.split import class_weights, stratified_split
-from beatline.plans.classification import alphabetical_labels, build_v2
-from beatline.plans.features import DEFAULT_YEARS
+from beatline.operators.encoders import map_lookup
+from beatline.operators.split import cutoff_weights, split_cutoffs, with_test_flag
+from beatline.plans.classification import build_v2
 from beatline.plans.surrogate import fit_group_frequency, predict_group_frequency
-from beatline.session import materialize
 
 
 @dataclass
@@ -23,37 +21,33 @@ class ClassifierData:
     rows: DataFrame          # D3 + int label (alphabetical) + is_test
     names: DataFrame         # label, primary_type (alphabetical)
     num_classes: int
+    cutoffs: DataFrame       # per class: rows, test rows, cutoff
 
 
-def classifier_data(incidents: DataFrame, years: tuple[int, int] = DEFAULT_YEARS,
+def classifier_data(incidents: DataFrame, years: tuple[int, int] | None = None,
                     n_types: int = 10, n_locations: int = 50, test_fraction: float = 0.2,
-                    seed: int = 42, key: str = "incident_key",
-                    stage: bool = True) -> ClassifierData:
+                    seed: int = 42, key: str = "incident_key") -> ClassifierData:
     """D3 relabelled alphabetically with an exact stratified test flag.
 
-    With ``stage`` the D3 rows are written once to the shared folder: the
-    split reads them three times (histogram, rows outside the boundary
-    bucket, boundary rows) and every consumer of the split (weights,
-    surrogate fit, predictions) reads them again. The split itself is a
-    map-side join with a one-row-per-class table plus a window over the
-    boundary rows, cheap to recompute per consumer; model fits write their
-    own train/validation rows.
+    The classes are read off the top-type table. The split's cutoffs take two
+    passes over (label, key); after that the flag is a projection of D3, so each
+    consumer reads D3 once and no copy of it is written. Model fits write their
+    own train and validation rows.
     """
     cs = build_v2(incidents, years, n_types, n_locations, key=key)
-    d3 = materialize(cs.rows, "d3") if stage else cs.rows
-    names = alphabetical_labels(d3, "primary_type", "label")
-    # At most n_types labels: fetched once and applied as a literal map.
-    label_of = collect_code_maps({"label": (names, "primary_type", "label")})["label"]
-    d3 = d3.withColumn("label", map_lookup(label_of, "primary_type").cast("int"))
-    rows = stratified_split(d3, "label", key, test_fraction, seed, class_bound=n_types)
-    num_classes = len(label_of)
-    return ClassifierData(rows, names.select("label", "primary_type"), num_classes)
+    types = sorted(r.primary_type for r in cs.type_codes.select("primary_type").collect())  # n_types
+    label_of = {t: i for i, t in enumerate(types)}
+    d3 = cs.rows.withColumn("label", map_lookup(label_of, "primary_type").cast("int"))
+    cutoffs = split_cutoffs(d3, "label", key, test_fraction, seed)
+    rows = with_test_flag(d3, cutoffs, "label", key, seed, class_bound=n_types)
+    names = incidents.sparkSession.createDataFrame([(i, t) for t, i in label_of.items()], "label int, primary_type string")
+    return ClassifierData(rows, names, len(types), cutoffs)
 
 
 def train_weights(data: ClassifierData) -> DataFrame:
     """(label, primary_type, train_count, weight) with ``n / (k n_c)``."""
-    train = data.rows.filter(~F.col("is_test"))
-    return class_weights(train, "label", data.num_classes, name_col="primary_type")
+    weights = cutoff_weights(data.cutoffs, "label", data.num_classes)
+    return weights.join(F.broadcast(data.names), "label").select("label", "primary_type", "train_count", "weight")
 
 
 def surrogate_predictions(data: ClassifierData, group: str = "description_encoded"

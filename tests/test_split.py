@@ -65,3 +65,29 @@ def test_class_weights_balance(spark):
     rows = split.with_class_weights(df, spark.createDataFrame(
         [(r.label, r.weight) for r in w], "label int, weight double"), bound=3)
     assert abs(rows.agg(F.sum("weight")).first()[0] - 100) < 1e-9
+
+
+def test_no_row_is_lost_for_a_null_key_or_label(spark):
+    rows = [(None if i % 10 == 0 else f"k{i}", None if i % 7 == 0 else i % 3) for i in range(1000)]
+    df = spark.createDataFrame(rows, "key string, label int")
+    for method in ("exact", "hash"):
+        out = split.stratified_split(df, "label", "key", 0.2, 42, method=method)
+        assert out.count() == 1000 and out.filter("is_test is null").count() == 0
+        assert out.filter("key is null").count() == 100 and out.filter("label is null").count() == 143
+
+
+def test_cutoffs_count_what_the_flag_marks(spark):
+    df = _classes(spark, (57, 33, 11)).unionByName(_classes(spark, (20, 3, 1)))  # keys that repeat
+    cut = split.split_cutoffs(df, "label", "key", 0.3, 7)
+    out = split.with_test_flag(df, cut, "label", "key", 7)
+    marked = {r.label: r.n for r in out.filter("is_test").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    assert {r.label: r.n_test for r in cut.collect() if r.n_test} == marked
+    weights = {r.label: r.weight for r in split.cutoff_weights(cut, "label", 3).collect()}
+    counted = {r.label: r.weight for r in split.class_weights(out.filter("not is_test"), "label", 3).collect()}
+    assert weights == counted
+
+
+def test_a_row_without_a_weight_is_kept(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (9, "c")], "label int, key string")
+    w = spark.createDataFrame([(1, 0.5)], "label int, weight double")
+    assert {r.key: r.weight for r in split.with_class_weights(df, w).collect()} == {"a": 0.5, "b": None, "c": None}

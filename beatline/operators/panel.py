@@ -1,10 +1,9 @@
 """District-by-month panel.
 
-Plan: one aggregate of the incident rows by (district, year, month) with
-partial aggregation (count, means, exact distinct counts as sizes of
-per-group sets over small code domains, and ``mode`` whose buffer is a
-per-group value histogram), so a district holding a third of all rows is
-pre-reduced in every task. The
+Plan: the incident rows are reduced in every task by hash aggregates with
+buffers of fixed size (grouping sets of the group with each code column), so a
+district holding a third of all rows costs a few hundred rows a task; a second
+aggregate of those small results gives the panel. The
 windows then run on the aggregated panel (districts x months rows), not on
 incidents: one exchange by district serves both the lag windows and the
 (district, month) year-over-year window, because hash partitioning by
@@ -30,48 +29,46 @@ def monthly_counts(df: DataFrame, keys: Sequence[str] = ("district", "year", "mo
             .orderBy("year", "month", "district"))
 
 
-def distinct_count(c: str, method: str = "set"):
-    """Exact number of distinct non-null values of ``c`` in a group.
-
-    ``set``: ``size(collect_set(c))``, one partial+final aggregate; the
-    buffer per group holds at most the column's domain, so use it for small
-    code domains (wards, community areas). ``expand``: ``countDistinct``,
-    which Catalyst rewrites with an Expand (rows x distinct columns) and an
-    extra aggregation stage, bounded memory for any domain. ``approx``:
-    ``approx_count_distinct`` (an estimate, not exact).
-    """
-    if method == "set":
-        return F.size(F.collect_set(c)).cast("bigint")
-    if method == "expand":
-        return F.countDistinct(c)
-    if method == "approx":  # HyperLogLog++ sketch, fixed-size buffer per group
-        return F.approx_count_distinct(c)
-    raise ValueError(f"unknown method {method!r}")
+#: Codes below this bound are packed with a count into one integer.
+CODE_BOUND = 1 << 20
+_SUMS = ("arrest_int", "domestic_int", "hour_of_day", "is_rush_hour", "is_weekend")
 
 
-def panel_aggregate(df: DataFrame, district: str = "district",
-                    distinct_method: str = "set") -> DataFrame:
+def panel_aggregate(df: DataFrame, district: str = "district") -> DataFrame:
     """Per (district, year, month): counts, rates, distinct counts and the
     most frequent location code (A8-A11), plus the season (E9).
 
-    Null group keys are dropped first (pandas ``groupby`` skips them). Ward
-    and community-area codes are small fixed domains, so their distinct
-    counts use the set form by default (about 4x faster than the Expand
-    rewrite here, and one shuffle instead of two).
+    Null group keys are dropped first (pandas ``groupby`` skips them). Two
+    levels of hash aggregates with buffers of fixed size: grouping sets of the
+    group with the ward, with the community area and with the location count
+    rows and add up the rates' columns (a group is at most as many rows as the
+    three code domains have values); the second level counts the wards and
+    areas that occur and takes the location of the greatest count, ties to the
+    least code (a whole number below ``CODE_BOUND``).
     """
     keyed = df.filter(F.col(district).isNotNull() & F.col("year").isNotNull()
                       & F.col("month").isNotNull())
-    agg = keyed.groupBy(district, "year", "month").agg(
-        F.count("year").alias("crime_count"),
-        F.avg("arrest_int").alias("arrest_rate"),
-        F.avg("domestic_int").alias("domestic_rate"),
-        F.avg("hour_of_day").alias("avg_hour"),
-        F.avg("is_rush_hour").alias("rush_hour_rate"),
-        F.avg("is_weekend").alias("weekend_rate"),
-        distinct_count("ward", distinct_method).alias("unique_wards"),
-        distinct_count("community_area", distinct_method).alias("unique_communities"),
-        F.mode("location_encoded", deterministic=True).alias("top_location"),
+    keys = [F.col(district), F.col("year"), F.col("month")]
+    part = [F.col(c) for c in ("ward", "community_area", "location_encoded")]
+    level = keyed.groupingSets([[*keys, p] for p in part], *keys, *part).agg(
+        F.grouping_id(*keys, *part).alias("_set"), F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c).alias(f"_{c}") for c in _SUMS], *[F.count(c).alias(f"_n_{c}") for c in _SUMS])
+    ward, area, place = (F.col("_set") == g for g in (0b011, 0b101, 0b110))
+    packed = F.col("_n") * CODE_BOUND + (CODE_BOUND - 1 - F.col("location_encoded").cast("bigint"))
+    mean = lambda c: F.sum(F.when(place, F.col(f"_{c}"))) / F.sum(F.when(place, F.col(f"_n_{c}")))
+    agg = level.groupBy(district, "year", "month").agg(
+        F.sum(F.when(place, F.col("_n"))).alias("crime_count"),
+        mean("arrest_int").alias("arrest_rate"),
+        mean("domestic_int").alias("domestic_rate"),
+        mean("hour_of_day").alias("avg_hour"),
+        mean("is_rush_hour").alias("rush_hour_rate"),
+        mean("is_weekend").alias("weekend_rate"),
+        F.count(F.when(ward, F.col("ward"))).alias("unique_wards"),
+        F.count(F.when(area, F.col("community_area"))).alias("unique_communities"),
+        F.max(F.when(place & F.col("location_encoded").isNotNull(), packed)).alias("_top"),
     )
+    code = CODE_BOUND - 1 - F.pmod("_top", F.lit(CODE_BOUND))
+    agg = agg.withColumn("top_location", code.cast(df.schema["location_encoded"].dataType)).drop("_top")
     return agg.withColumn("season", season("month", strict=True))
 
 

@@ -58,13 +58,13 @@ def test_forest_beats_majority_and_round_trips(spark, tmp_dir):
     majority = test.groupBy("label").count().agg(F.max("count")).first()[0] / test.count()
     assert acc > majority + 0.2
     path = f"{tmp_dir}/rf"
-    M.save_model(model, path)
-    again = M.load_model(RandomForestClassificationModel, path)
+    M.save_model(spark, model, path)
+    again = M.load_model(spark, RandomForestClassificationModel, path)
     p2 = again.transform(M.assemble(test, ["x1", "x2"]))
     a = [r.prediction for r in pred.orderBy("key").collect()]
     b = [r.prediction for r in p2.orderBy("key").collect()]
     assert a == b
-    imp = M.feature_importance(model, ["x1", "x2"]).collect()
+    imp = M.feature_importance(spark, model, ["x1", "x2"]).collect()
     assert math.isclose(sum(r.importance for r in imp), 1.0)
 
 
@@ -75,17 +75,45 @@ def test_best_round_patience():
 
 
 @pytest.mark.slow
-def test_one_vs_rest_boosted(spark):
+def test_one_vs_rest_boosted(spark, tmp_dir):
     df = _signal_frame(spark, 600)
     train, test = df.filter("key < 'k8'"), df.filter("key >= 'k8'")
     ovr = M.fit_boosted_classifier(train, test, ["x1", "x2"], 3, "label", max_iter=6,
-                                   max_depth=3, patience=2, min_instances=5)
+                                   max_depth=3, patience=2, min_instances=5, first_rounds=4)
     assert all(1 <= r <= 6 for r in ovr.best_rounds)
     out = ovr.transform(test).toPandas()
     sums = out["probability"].apply(lambda p: sum(p))
     assert np.allclose(sums, 1.0)
     acc = (out["prediction"] == out["label"]).mean()
     assert acc > 0.6
+    M.save_model(spark, ovr, f"{tmp_dir}/ovr")
+    again = M.load_model(spark, M.OneVsRestBoosted, f"{tmp_dir}/ovr").transform(test).toPandas()
+    assert again["prediction"].equals(out["prediction"])
+    assert [m.getNumTrees for m in ovr.models] == ovr.best_rounds
+
+
+@pytest.mark.slow
+def test_early_stop_ends_fitting_and_cuts_the_same_trees(spark):
+    """Labels are noise: the best round comes early, and few rounds are fitted.
+    The first trees predict what a fit of that many rounds predicts."""
+    from pyspark.ml.classification import GBTClassifier
+    rng = np.random.default_rng(1)
+    rows = [(f"k{i}", int(a), int(b), int(c)) for i, (a, b, c) in enumerate(zip(
+        rng.integers(0, 9, 400), rng.integers(0, 9, 400), rng.integers(0, 2, 400)))]
+    df = spark.createDataFrame(rows, "key string, x1 int, x2 int, label int")
+    train, valid = df.filter("key < 'k5'"), df.filter("key >= 'k5'")
+    stopped = M.fit_boosted_classifier(train, valid, ["x1", "x2"], 2, "label", step_size=0.3, max_depth=3,
+                                       min_instances=5, max_iter=500, patience=3, first_rounds=4)
+    for losses, best in zip(stopped.losses, stopped.best_rounds):
+        assert len(losses) <= max(4, 2 * (best + 3))
+    assert [m.getNumTrees for m in stopped.models] == stopped.best_rounds
+
+    data = M.assemble(train, ["x1", "x2"]).withColumn("label", F.col("label").cast("double")).coalesce(1).cache()
+    est = GBTClassifier(maxDepth=3, subsamplingRate=0.8, seed=7)
+    cut = M.first_trees(spark, est.copy().setMaxIter(6).fit(data), 3)
+    short = est.copy().setMaxIter(3).fit(data)
+    of = lambda m: [r[0].toArray() for r in m.transform(data).select("probability").collect()]
+    assert np.allclose(of(cut), of(short))
 
 
 def test_regressors_fit(spark):

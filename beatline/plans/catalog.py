@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.operators import encoders, evaluate, explore, filters, panel, scaling
+from beatline.operators import encoders, evaluate, explore, filters, panel, scaling, split
 from beatline.operators import models as M
 from beatline.plans import classification as C
 from beatline.plans import features as FT
 from beatline.plans.classifier import classifier_data, surrogate_predictions, train_weights
 from beatline.plans.params import (
     CUT_YEAR, N_LOCATIONS, N_TYPES, PREVIEW_ROWS, SAMPLE_P, SEED, SHUFFLE_CAP,
-    TEST_FRACTION, TOP_TYPES_REPORT, YEARS,
+    TEST_FRACTION, TOP_TYPES_REPORT, YEARS, CAP_ROWS, NULL_KEY_CAP,
 )
 from beatline.plans.regression import baseline_predictions, panel_from_incidents
 from beatline.schema import (
@@ -27,7 +27,7 @@ from beatline.schema import (
 )
 from beatline.session import scratch_path
 from beatline.sources.fixture import fixture_incidents
-from beatline.sources.incidents import describe_columns, preview, read_csv, write_table
+from beatline.sources.incidents import describe_columns, preview, read_csv, read_incidents, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = "incident_key"
@@ -73,8 +73,20 @@ def q_describe_columns(spark, sf):
     return describe_columns(_inc(spark, sf))
 
 
+def q_read_incidents(spark, sf):
+    """The stored table, read by the reader that users call."""
+    path = scratch_path(spark, "incidents")
+    _inc(spark, sf).write.parquet(path)
+    return FT.extract_incidents(read_incidents(spark, path), YEARS)
+
+
 def q_csv_roundtrip(spark, sf):
-    d1 = _d1(spark, sf)
+    text = F.col("description")
+    day = F.col("day_of_week")
+    awkward = (F.when(day == 1, "").when(day == 2, F.lit(None)).when(day == 3, F.concat(F.lit("  "), text, F.lit("  ")))
+               .when(day == 4, F.concat(F.lit('say "'), text, F.lit('", ok')))
+               .when(day == 5, F.concat(text, F.lit('\n"'))).when(day == 6, " ").otherwise(text))
+    d1 = _d1(spark, sf).withColumn("description", awkward)
     path = scratch_path(spark, "extract-csv")
     write_table(d1, path, "csv")
     return read_csv(spark, path, schema=d1.schema)
@@ -161,6 +173,24 @@ def q_shuffled_cap(spark, sf):
     return filters.shuffled_cap(sample, SHUFFLE_CAP, SEED, KEY, order_seed=SEED + 1)
 
 
+def q_capped_sample(spark, sf):
+    sample = filters.sample_fraction(_d1(spark, sf), SAMPLE_P, SEED, KEY)
+    return filters.shuffled_cap(sample, NULL_KEY_CAP, SEED, KEY, order_seed=SEED + 1)
+
+
+def q_cap(spark, sf):
+    return filters.cap(_d1(spark, sf), CAP_ROWS).agg(F.count("*").alias("n"))
+
+
+def q_null_keys(spark, sf):
+    """Rows kept where keys are null: the sample, a cap that binds, the split."""
+    holes = _d1(spark, sf).withColumn(KEY, F.when(F.col("hour_of_day") != 3, F.col(KEY)))
+    n = lambda what, df: df.agg(F.lit(what).alias("what"), F.count("*").alias("n"))
+    return n("sampled", filters.sample_fraction(holes, SAMPLE_P, SEED, KEY)).unionByName(
+        n("capped", filters.shuffled_cap(holes, NULL_KEY_CAP, SEED, KEY))).unionByName(
+        n("split", split.stratified_split(holes, "month", KEY, TEST_FRACTION, SEED)))
+
+
 # --- top lists and encoders --------------------------------------------------
 
 def q_top_n_keys(spark, sf):
@@ -177,16 +207,20 @@ def q_bucket_locations(spark, sf):
         KEY, "location_description", "location_description_clean")
 
 
+def _codes(spark, sf):
+    return C.fit_codes(_d2(spark, sf), N_TYPES, N_LOCATIONS)
+
+
 def q_encode_location(spark, sf):
-    return _cs(spark, sf).location_codes
+    return _codes(spark, sf).locations
 
 
 def q_encode_description(spark, sf):
-    return _cs(spark, sf).description_codes
+    return _codes(spark, sf).descriptions
 
 
 def q_encode_label_freq(spark, sf):
-    return _cs(spark, sf).type_codes
+    return _codes(spark, sf).types
 
 
 def q_encode_label_alpha(spark, sf):
@@ -301,10 +335,47 @@ def q_prediction_sample(spark, sf):
 def _train_test(spark, sf):
     cd = _cd(spark, sf)
     w = train_weights(cd)
-    rows = cd.rows.join(F.broadcast(w.select("label", "weight")), "label")
+    rows = split.with_class_weights(cd.rows, w, bound=N_TYPES)
     return cd, rows.filter(~F.col("is_test")), rows.filter(F.col("is_test"))
 
 
+def q_weighted_rows(spark, sf):
+    _, train, _ = _train_test(spark, sf)
+    return train.select(KEY, "label", "weight")
+
+
+def q_model_roundtrip(spark, sf):
+    """Test rows, and those whose prediction is the same after a save and a load."""
+    _, train, test = _train_test(spark, sf)
+    model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight", num_trees=5, max_depth=4, seed=SEED)
+    path = scratch_path(spark, "model")
+    M.save_model(spark, model, path)
+    again = M.load_model(spark, type(model), path)
+    rows = M.assemble(test, FEATURES_V2).select("features")
+    a = model.transform(rows).select("features", F.col("prediction").alias("before"))
+    both = again.transform(a)
+    return both.agg(F.count("*").alias("rows"), F.count_if(F.col("before") == F.col("prediction")).alias("same"))
+
+
+def q_fitted_model_comparison(spark, sf):
+    """Two fitted regressors and the naive forecasts, by the same metrics."""
+    train, test = _panel_split(spark, sf)
+    keys = ["district", "year", "month"]
+    trees = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", max_iter=20, seed=SEED)
+    huber = M.fit_huber_regressor(train, PANEL_FEATURES, "crime_count")
+    preds = baseline_predictions(train.unionByName(test), CUT_YEAR)
+    for name, model in (("boosted_trees", trees), ("huber_linear", huber)):
+        preds = preds.unionByName(M.predictions_frame(model, test, PANEL_FEATURES, keys, "crime_count", name))
+    return _r6(evaluate.regression_metrics(preds, by=["model"]), _METRICS)
+
+
+def q_fitted_classification_report(spark, sf):
+    cd, train, test = _train_test(spark, sf)
+    model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight", num_trees=10, max_depth=5, seed=SEED)
+    out = model.transform(M.assemble(test, FEATURES_V2)).select("label", F.col("prediction").cast("int").alias("prediction"))
+    return _r6(evaluate.classification_report(out, names=cd.names, name_col="primary_type"), ["precision", "recall", "f1"])
+
+
 def q_fit_forest_classifier(spark, sf):
     cd, train, test = _train_test(spark, sf)
     model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight",
@@ -346,7 +417,7 @@ def q_feature_importance(spark, sf):
     cd, train, test = _train_test(spark, sf)
     model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight",
                                     num_trees=10, max_depth=5, seed=SEED)
-    return M.feature_importance(model, FEATURES_V2)
+    return M.feature_importance(spark, model, FEATURES_V2)
 
 
 def q_loss_curve(spark, sf):

@@ -7,41 +7,48 @@ derivation from ``lineitem``, ``part`` and ``supplier``.
 
 from __future__ import annotations
 
-from beatline.functions.calendar import RUSH_HOURS, SEASON_OF_MONTH, WEEKEND_DAYS
-from beatline.functions.text import DESCRIPTION_DEFAULT, DESCRIPTION_RULES
 from beatline.plans.params import CUT_YEAR, N_LOCATIONS, N_TYPES, SEED, TEST_FRACTION, YEARS
-from beatline.schema import FEATURES_V1, FEATURES_V2
 from beatline.sources.fixture import incident_view_sql
 
 LO, HI = YEARS
 
-
-def _season_sql(col: str) -> str:
-    by: dict[int, list[int]] = {}
-    for m, s in SEASON_OF_MONTH.items():
-        by.setdefault(s, []).append(m)
-    last = max(by)
-    arms = " ".join(f"WHEN {col} IN ({', '.join(map(str, by[s]))}) THEN {s}"
-                    for s in sorted(by) if s != last)
-    return f"CASE {arms} ELSE {last} END"
-
-
-def _rush_sql(col: str) -> str:
-    cond = " OR ".join(f"{col} BETWEEN {lo} AND {hi}" for lo, hi in RUSH_HOURS)
-    return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
-
-
-def _group_sql(col: str) -> str:
-    arms = " ".join(f"WHEN strpos(lower({col}), '{needle}') > 0 THEN '{g}'"
-                    for needle, g in DESCRIPTION_RULES)
-    return f"CASE {arms} ELSE '{DESCRIPTION_DEFAULT}' END"
-
-
+# Fixed values, written out here and not taken from the code under test, so
+# that a wrong rule in either place turns a query red.
+_SEASON = ("CASE WHEN {0} IN (12, 1, 2) THEN 1 WHEN {0} IN (3, 4, 5) THEN 2 "
+           "WHEN {0} IN (6, 7, 8) THEN 3 ELSE 4 END")
+_SEASON_STRICT = ("CASE WHEN month IN (12, 1, 2) THEN 1 WHEN month IN (3, 4, 5) THEN 2 "
+                  "WHEN month IN (6, 7, 8) THEN 3 WHEN month IN (9, 10, 11) THEN 4 END")
+_RUSH = "CASE WHEN {0} BETWEEN 7 AND 9 OR {0} BETWEEN 16 AND 19 THEN 1 ELSE 0 END"
+_WEEKEND = "CASE WHEN {0} IN (1, 7) THEN 1 ELSE 0 END"
+# The first keyword that a description holds names its group.
+_GROUPS = """CASE
+  WHEN {0} LIKE '%aggravated%' THEN 'AGGRAVATED'
+  WHEN {0} LIKE '%armed%' THEN 'ARMED'
+  WHEN {0} LIKE '%attempt%' THEN 'ATTEMPT'
+  WHEN {0} LIKE '%simple%' THEN 'SIMPLE'
+  WHEN {0} LIKE '%domestic%' THEN 'DOMESTIC'
+  WHEN {0} LIKE '%retail%' THEN 'RETAIL'
+  WHEN {0} LIKE '%financial%' THEN 'FINANCIAL'
+  WHEN {0} LIKE '%poss%' THEN 'POSSESSION'
+  WHEN {0} LIKE '%deliver%' THEN 'DELIVERY'
+  WHEN {0} LIKE '%vehicle%' THEN 'VEHICLE'
+  WHEN {0} LIKE '%damage%' THEN 'DAMAGE'
+  WHEN {0} LIKE '%forcible%' THEN 'FORCIBLE'
+  ELSE 'OTHER' END"""
+
+# The key columns of the two cleaning steps.
 KEYS_V1_SQL = ["primary_type", "district", "year", "month", "day_of_week",
                "hour_of_day", "arrest", "domestic"]
 KEYS_V2_SQL = ["primary_type", "district", "ward", "community_area", "year", "month",
                "day_of_week", "hour_of_day", "arrest", "domestic",
                "location_description", "description"]
+# The feature columns of the two classification sets, without
+# the two encoded ones.
+_FEATURES_V1 = ["year", "month", "day_of_week", "hour_of_day", "district", "arrest_int",
+                "domestic_int", "is_rush_hour", "is_weekend", "season"]
+_FEATURES_V2 = ["year", "month", "day_of_week", "hour_of_day", "district", "ward",
+                "community_area", "arrest_int", "domestic_int", "is_rush_hour",
+                "is_weekend", "season", "district_hour"]
 
 CTE = {}
 CTE["incidents"] = incident_view_sql()
@@ -61,13 +68,13 @@ CTE["clean1"] = ("SELECT * FROM extract WHERE "
 CTE["clean2"] = ("SELECT * FROM extract WHERE "
                  + " AND ".join(f"{c} IS NOT NULL" for c in KEYS_V2_SQL))
 _ROWF = f"""CAST(arrest AS INT) AS arrest_int, CAST(domestic AS INT) AS domestic_int,
-       {_rush_sql('hour_of_day')} AS is_rush_hour,
-       CASE WHEN day_of_week IN ({', '.join(map(str, WEEKEND_DAYS))}) THEN 1 ELSE 0 END AS is_weekend,
-       {_season_sql('month')} AS season"""
+       {_RUSH.format('hour_of_day')} AS is_rush_hour,
+       {_WEEKEND.format('day_of_week')} AS is_weekend,
+       {_SEASON.format('month')} AS season"""
 CTE["feat1"] = f"SELECT *, {_ROWF} FROM clean1"
 CTE["feat2"] = f"""SELECT *, {_ROWF},
        district * 100 + hour_of_day AS district_hour,
-       {_group_sql('description')} AS description_grouped
+       {_GROUPS.format('lower(description)')} AS description_grouped
 FROM clean2"""
 CTE["types2"] = f"""
 SELECT primary_type, n,
@@ -93,18 +100,16 @@ SELECT description_grouped, count(*) AS n,
             AS DOUBLE) AS description_encoded
 FROM feat2 GROUP BY description_grouped"""
 CTE["d3"] = f"""
-SELECT f.incident_key, {', '.join('f.' + c for c in FEATURES_V2 if c not in ('location_encoded', 'description_encoded'))},
+SELECT f.incident_key, {', '.join('f.' + c for c in _FEATURES_V2)},
        lc.location_encoded, dc.description_encoded, t.label, f.primary_type
 FROM featc f
 JOIN types2 t ON f.primary_type = t.primary_type
 JOIN loccodes lc ON f.location_description_clean = lc.location_description_clean
 JOIN desccodes dc ON f.description_grouped = dc.description_grouped"""
 CTE["d3v1"] = f"""
-SELECT f.incident_key, {', '.join('f.' + c for c in FEATURES_V1)}, t.label, f.primary_type
+SELECT f.incident_key, {', '.join('f.' + c for c in _FEATURES_V1)}, t.label, f.primary_type
 FROM feat1 f JOIN types1 t ON f.primary_type = t.primary_type"""
 
-_SEASON_STRICT = ("CASE month " + " ".join(f"WHEN {m} THEN {v}" for m, v in
-                                           sorted(SEASON_OF_MONTH.items())) + " END")
 CTE["pbase"] = """
 SELECT district, year, month, count(year) AS crime_count,
        avg(arrest_int) AS arrest_rate, avg(domestic_int) AS domestic_rate,

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from beatline.operators.filters import hash_threshold
 from beatline.plans.oracle import with_ctes
 from beatline.plans.params import (
     CUT_YEAR, N_TYPES, PREVIEW_ROWS, SAMPLE_P, SEED, SHUFFLE_CAP,
-    TOP_TYPES_REPORT,
+    TOP_TYPES_REPORT, CAP_ROWS, NULL_KEY_CAP,
 )
 from beatline.schema import FEATURES_V1, NULL_PROFILE_COLUMNS, PANEL_FEATURES
 from beatline.sources.fixture import VIEW_COLUMNS
@@ -15,13 +14,21 @@ _EXTRACT_COLS = ("incident_key, primary_type, description, location_description,
                  "domestic, district, ward, community_area, year, month, day_of_week, "
                  "hour_of_day, latitude, longitude")
 
+# Descriptions with everything that CSV has to keep apart.
+AWKWARD_SQL = """CASE day_of_week
+  WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '  ' || description || '  '
+  WHEN 4 THEN 'say "' || description || '", ok' WHEN 5 THEN description || chr(10) || '"'
+  WHEN 6 THEN ' ' ELSE description END"""
+
 # Spark SQL type names of the incident view, in column order.
 _VIEW_TYPES = ["string", "string", "string", "string", "boolean", "boolean", "int", "int",
                "int", "timestamp_ntz", "double", "double"]
 
 
 def _sample_pred(p: float, seed: int) -> str:
-    return f"substr(md5('{seed}|' || incident_key), 1, 8) < '{hash_threshold(p)}'"
+    """The first 32 bits of the hash, as a number, below the share ``p``."""
+    return (f"CAST('0x' || substr(md5('{seed}|' || coalesce(incident_key, '')), 1, 8) AS UBIGINT) "
+            f"< ceil({p} * 4294967296)")
 
 
 def _r6(expr: str, name: str) -> str:
@@ -115,12 +122,30 @@ ORACLE: dict[str, str] = {
     "preview": with_ctes(["incidents"], [],
                          f"SELECT * FROM incidents ORDER BY incident_key LIMIT {PREVIEW_ROWS}"),
     "describe_columns": _describe_sql(),
-    "csv_roundtrip": with_ctes(["extract"], [], "SELECT * FROM extract"),
+    "csv_roundtrip": with_ctes(["extract"], [], f"""
+SELECT * REPLACE ({AWKWARD_SQL} AS description) FROM extract"""),
+    "read_incidents": with_ctes(["extract"], [], "SELECT * FROM extract"),
+    "cap": with_ctes(["extract"], [], f"SELECT least(count(*), {CAP_ROWS}) AS n FROM extract"),
+    "null_keys": with_ctes(["extract"], [("holes", """
+SELECT * REPLACE (CASE WHEN hour_of_day = 3 THEN NULL ELSE incident_key END AS incident_key)
+FROM extract""")], f"""
+SELECT 'sampled' AS what, count(*) AS n FROM holes WHERE {_sample_pred(SAMPLE_P, SEED)}
+UNION ALL SELECT 'capped', least(count(*), {NULL_KEY_CAP}) FROM holes
+UNION ALL SELECT 'split', count(*) FROM holes"""),
+    "capped_sample": with_ctes(["extract"], [], f"""
+SELECT {_EXTRACT_COLS} FROM extract WHERE {_sample_pred(SAMPLE_P, SEED)}
+ORDER BY md5('{SEED + 1}|' || incident_key), incident_key LIMIT {NULL_KEY_CAP}"""),
+    "weighted_rows": with_ctes(["sp", "lab"], [], """
+SELECT incident_key, label,
+       sum(count(*)) OVER () / ((SELECT count(*) FROM lab) * sum(count(*)) OVER (PARTITION BY label))
+         AS weight
+FROM sp WHERE NOT is_test GROUP BY incident_key, label"""),
+    "model_roundtrip": with_ctes(["sp"], [], """
+SELECT count(*) AS rows, count(*) AS same FROM sp WHERE is_test"""),
     "total_rows": with_ctes(["incidents"], [], "SELECT count(*) AS total_rows FROM incidents"),
     "type_distribution": with_ctes(["incidents"], [], f"""
 SELECT primary_type, count(*) AS count,
-       CAST((count(*) * 20000 + sum(count(*)) OVER ()) // (2 * sum(count(*)) OVER ())
-            AS DOUBLE) / 100 AS pct
+       CAST(round(CAST(count(*) * 100 AS DECIMAL(38, 6)) / sum(count(*)) OVER (), 2) AS DOUBLE) AS pct
 FROM incidents GROUP BY primary_type
 ORDER BY count DESC, primary_type LIMIT {TOP_TYPES_REPORT}"""),
     "type_frequency": with_ctes(["extract"], [], """

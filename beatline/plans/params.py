@@ -12,6 +12,8 @@ N_LOCATIONS = 50
 SAMPLE_P = 0.05
 SEED = 42
 SHUFFLE_CAP = 200_000
+CAP_ROWS = 10_000
+NULL_KEY_CAP = 500
 TEST_FRACTION = 0.2
 PREVIEW_ROWS = 10
 TOP_TYPES_REPORT = 20

@@ -30,6 +30,24 @@ def test_csv_inference_and_roundtrip(spark, tmp_dir):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+AWKWARD = [("  lead", 1), ("tail  ", 2), ("", 3), (None, 4), ("two\nlines", 5), ('say "hi", ok', 6),
+           ("\\", 7), ('"', 8), ("a,b\r\nc", 9), ("null", 10), ("  ", 11)]
+
+
+def test_csv_keeps_awkward_text(spark, tmp_dir):
+    df = spark.createDataFrame(AWKWARD, "v string, n int")
+    write_table(df, f"{tmp_dir}/awkward", "csv")
+    back = read_csv(spark, f"{tmp_dir}/awkward", schema=df.schema)
+    assert {r.n: r.v for r in back.collect()} == {n: v for v, n in AWKWARD}
+
+
+def test_csv_with_doubled_quotes(spark, tmp_dir):
+    with open(f"{tmp_dir}/q.csv", "w", newline="") as f:
+        f.write('v,n\n"say ""hi"", ok",1\n"two\nlines",2\n"",3\n,4\n')
+    got = {r.n: r.v for r in read_csv(spark, f"{tmp_dir}/q.csv", schema="v string, n int").collect()}
+    assert got == {1: 'say "hi", ok', 2: "two\nlines", 3: "", 4: None}
+
+
 def test_describe_and_preview(spark):
     df = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "id int, v string")
     d = [(r.column_name, r.data_type) for r in describe_columns(df).collect()]
@@ -55,19 +73,19 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_a_model():
     import __spark_entry__ as entry
     q, o = entry.queries(), entry.oracle_sql()
-    missing = set(q) - set(o)
-    assert missing == {"fit_forest_classifier", "fit_boosted_classifier",
-                       "fit_boosted_regressor", "fit_huber_regressor",
-                       "feature_importance", "loss_curve"}
+    from beatline.plans.catalog import QUERIES
+    assert {k for k in QUERIES if k not in o} == MODEL_KEYS and set(QUERIES) <= set(q)
 
 
 MODEL_KEYS = {"fit_forest_classifier", "fit_boosted_classifier", "fit_boosted_regressor",
-              "fit_huber_regressor", "feature_importance", "loss_curve"}
+              "fit_huber_regressor", "feature_importance", "loss_curve",
+              "fitted_model_comparison", "fitted_classification_report"}
 
 
 def _oracle_keys():
     import __spark_entry__ as entry
-    return sorted(k for k in entry.oracle_sql())
+    from beatline.plans.catalog import QUERIES
+    return sorted(k for k in entry.oracle_sql() if k in QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -9,6 +9,7 @@ checkpoint folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,12 +22,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "beatline") -> SparkSession:
     """A local session for tests and benchmarks.
 
-    Sets a checkpoint folder only when none is configured; on a cluster the
-    operator supplies ``spark.checkpoint.dir`` (a shared file system path).
+    The checkpoint folder is a temporary one unless ``spark.checkpoint.dir`` is
+    configured; on a cluster the operator supplies it (a shared file system path).
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
-        .config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="beatline-ckpt-"))
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -52,9 +52,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised stages.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset and the
-    master is local (tests) a fresh temporary folder is created and
-    registered. On a cluster an unset folder is an error.
+    Read from ``spark.checkpoint.dir``; only when it is unset and Spark runs in
+    this one process (``local``, ``local[n]``: tests) a fresh temporary folder is
+    created and registered. Elsewhere (``local-cluster`` too) an unset folder is
+    an error. That the folder is one which all executors share is up to the
+    cluster's configuration: a ``file:`` path can be a shared mount.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,7 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             # A machine-local folder is not visible to other executors.
             raise RuntimeError(
                 f"set {CHECKPOINT_CONF} to a folder on the shared file system")
@@ -115,7 +117,8 @@ def release_materialized(spark: SparkSession) -> int:
 
 
 def checkpoint_small(df: DataFrame, name: str = "small") -> DataFrame:
-    """Materialise a small intermediate (an aggregate) once.
+    """``materialize`` for an intermediate that several passes read: an
+    aggregate, smaller than its input, whose size no caller relies on.
 
     Written as Parquet to the shared checkpoint folder and read back: the
     lineage is cut, its readers do not rerun the pass over the big input,

@@ -51,19 +51,22 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="beatline-bench")
     names = only or HEADLINE
     results: dict[str, float] = {}
+    spread: dict[str, list[float]] = {}
     for name in names:
         fn = QUERIES[name]
 
         def run():
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-        run()  # warm-up
+        run()  # warm-up, twice: code is still being compiled in the first
+        run()
         times = []
         for _ in range(repeats):
             t0 = time.perf_counter()
             run()
             times.append(time.perf_counter() - t0)
         results[name] = round(statistics.median(times), 3)
+        spread[name] = [round(min(times), 3), round(max(times), 3)]
         print(f"# {name}: {results[name]}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -74,6 +77,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else None,
         "cpus": int(cpus),
         "repeats": repeats,
+        "min_max": spread,
     }))
 
 

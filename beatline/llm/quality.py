@@ -3,9 +3,11 @@
 Words and word pairs are hashed to ``N_BUCKETS`` buckets. Two multinomials over
 the buckets are counted: the raw corpus (every document) and a trusted target
 (documents labelled as good). A document's score is the mean, over its
-n-grams, of log p_target - log p_raw; documents at or above a fixed threshold
-are kept. Weights are fixed-point integers, so a score does not depend on how
-rows are batched or partitioned.
+n-grams, of log p_target - log p_raw. Texts are dealt into folds by their hash,
+and each is scored by the target without its own fold, labelled or not. The cut
+is the one that best parts the scores of documents labelled good and bad.
+Weights are fixed-point integers, so a score does not depend on how rows are
+batched or partitioned.
 
 Base rules run first; a document that fails them is not kept.
 """
@@ -14,23 +16,30 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatline.llm.common import NOT_BLANK, Words, documents, grams, pick, slices, sums, utf8
 
 N_BUCKETS = 1 << 14
-#: Mean log ratio for each n-gram below which a document is not kept.
+#: Mean log ratio for each n-gram below which a document is not kept, where the
+#: labels give no cut.
 THRESHOLD = -0.12
-#: The target's counts are smoothed by so many n-grams of the raw corpus.
-PRIOR = 100_000
-#: At most so many labelled rows make the trusted target (by hash order).
+#: The target's counts are smoothed by n-grams of the raw corpus, as a share of
+#: the target's.
+PRIOR = 0.1
+#: At most so many labelled documents of each quality are used (by hash order).
 TRUSTED_ROWS = 50_000
+FOLDS = 8
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Texts scored at once.
 SCORED_BYTES = 2 << 20
 _POINT = 1 << 20
+#: Width of a histogram bin of scores, in fixed point.
+_BIN = 1 << 10
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -45,45 +54,113 @@ def buckets(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([words.doc, of_pairs]))
 
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id", quality_col: str = "quality",
-                most: int = TRUSTED_ROWS) -> np.ndarray:
-    """The ids of the labelled good documents, at most ``most`` in hash order
-    (all, where there are fewer)."""
-    good = pick(labels, doc_id=(id_col, "long"), quality=(quality_col, "long")) \
-        .filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    rows = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
-    return np.array(sorted(r.doc_id for r in rows), np.int64)
+def fold(texts: list[bytes]) -> np.ndarray:
+    """The fold of every text; exact copies share one."""
+    return np.fromiter((xxhash.xxh64_intdigest(t) % FOLDS for t in texts), np.int64, len(texts))
+
+
+def labelled_ids(labels: DataFrame, id_col: str = "doc_id", quality_col: str = "quality",
+                 most: int = TRUSTED_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the documents labelled good, and of those labelled bad, at most
+    ``most`` of each in hash order (all, where there are fewer). An id with both
+    labels is good."""
+    known = pick(labels, doc_id=(id_col, "long"), quality=(quality_col, "long")) \
+        .filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    out = []
+    for quality in (1, 0):
+        rows = known.filter(F.col("quality") == quality).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
+        out.append(np.array(sorted(r.doc_id for r in rows), np.int64))
+    return out[0], out[1]
 
 
 def fit_weights(docs: DataFrame, trusted: np.ndarray) -> np.ndarray:
-    """Fixed-point log ratios by bucket, from counts over all documents. The
-    target is smoothed towards the raw corpus (``PRIOR`` n-grams of it), so a
-    small target says little. All 0 where the target has no n-gram."""
+    """Fixed-point log ratios by fold and bucket, from counts over all documents;
+    a fold's target leaves out its own texts. The target is smoothed towards the
+    raw corpus (``PRIOR``). All 0 where the target has no n-gram."""
     ids = docs.sparkSession.sparkContext.broadcast(trusted)
 
     def count(batches):
-        raw, target = np.zeros(N_BUCKETS, np.int64), np.zeros(N_BUCKETS, np.int64)
+        # The raw corpus, then the target's folds.
+        counts = np.zeros((1 + FOLDS) * N_BUCKETS, np.int64)
         for batch in slices(batches):
-            words = Words(utf8(batch.column("text")), NOT_BLANK)
+            texts = utf8(batch.column("text"))
+            words = Words(texts, NOT_BLANK)
             at, doc = buckets(words, words.hashes())
-            raw += np.bincount(at, minlength=N_BUCKETS)
+            counts[:N_BUCKETS] += np.bincount(at, minlength=N_BUCKETS)
             good = np.isin(batch.column("doc_id").fill_null(-1).to_numpy(), ids.value) & batch.column("doc_id").is_valid().to_numpy(False)
-            target += np.bincount(at[good[doc]], minlength=N_BUCKETS)
-        found = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found), pa.array(raw[found]), pa.array(target[found])], names=["bucket", "raw", "target"])
-
-    counts = docs.mapInArrow(count, "bucket long, raw long, target long") \
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    raw, target = np.ones(N_BUCKETS), np.zeros(N_BUCKETS)
-    for r in counts.collect():  # at most N_BUCKETS rows
-        raw[r.bucket] += r.raw
-        target[r.bucket] += r.target
+            if good.any():
+                its = good[doc]
+                counts += np.bincount((1 + fold(texts)[doc[its]]) * N_BUCKETS + at[its], minlength=len(counts))
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["at", "n"])
+
+    counts = docs.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    found = np.zeros((1 + FOLDS) * N_BUCKETS)  # at most so many rows
+    found[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
+    found = found.reshape(1 + FOLDS, N_BUCKETS)
+    raw, target = found[0] + 1, found[1:].sum(0) - found[1:]
     raw /= raw.sum()
-    target = (target + PRIOR * raw) / (target.sum() + PRIOR)
+    size = target.sum(1, keepdims=True)
+    prior = np.where(size > 0, PRIOR * size, 1)
+    target = (target + prior * raw) / (size + prior)
     return np.rint((np.log(target) - np.log(raw)) * _POINT).astype(np.int64)
 
 
+def scored(texts: list[bytes], weights: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """``FEATURES``, whether the base rules fail, the sum of weights and the
+    number of n-grams of every text."""
+    words = Words(texts, NOT_BLANK)
+    hashes = words.hashes()
+    found = features(texts, words, hashes)
+    at, doc = buckets(words, hashes)
+    total = np.zeros(len(texts), np.int64)
+    np.add.at(total, doc, weights[fold(texts)[doc], at])
+    failed = (found[0] < MIN_WORDS) | (100 * found[4] > MAX_REPEAT_PERCENT * found[0])
+    return found, failed, total, np.bincount(doc, minlength=len(texts))
+
+
+def best_cut(bins: np.ndarray, good: np.ndarray, bad: np.ndarray) -> int:
+    """The bin from which documents are kept, out of a histogram of scores by
+    quality: the greatest sum of the share of good documents kept and of bad ones
+    not kept, in the middle of the lowest run of equal cuts. Where no cut parts
+    them (no bad document, say), that of ``THRESHOLD``, or the least good
+    document's where that is lower."""
+    fixed = round(THRESHOLD * _POINT) // _BIN
+    if not good.sum():
+        return fixed
+    least = int(bins[good > 0].min())
+    first = int(bins.min())
+    size = int(bins.max()) - first + 2
+    above, below = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    np.add.at(above, bins - first, good)
+    np.add.at(below, bins - first + 1, bad)
+    above, below = np.cumsum(above[::-1])[::-1], np.cumsum(below)
+    gain = above * bad.sum() + below * good.sum()
+    if gain.max() <= good.sum() * bad.sum():
+        return min(fixed, least)
+    best = np.flatnonzero(gain == gain.max())
+    run = best[:np.flatnonzero(np.diff(best, append=size + 1) > 1)[0] + 1]
+    return first + int(run[0] + run[-1] + 1) // 2
+
+
+def fit_cut(docs: DataFrame, weights: Broadcast, good: np.ndarray, bad: np.ndarray) -> int:
+    """The cut in fixed point, from the scores of the labelled documents that
+    pass the base rules."""
+    def score(batches):
+        for batch in slices(batches, most=SCORED_BYTES):
+            _, failed, total, n = scored(utf8(batch.column("text")), weights.value)
+            passed = ~failed
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(total[passed] // (_BIN * n[passed])), batch.column("good").filter(pa.array(passed))],
+                names=["bin", "good"])
+
+    known = docs.sparkSession.createDataFrame(pa.table(
+        {"doc_id": np.concatenate([good, bad]), "good": np.arange(len(good) + len(bad)) < len(good)}))
+    rows = docs.join(F.broadcast(known), "doc_id").select("text", "good").mapInArrow(score, "bin long, good boolean") \
+        .groupBy("bin").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).toArrow()
+    return _BIN * best_cut(*(rows.column(c).to_numpy() for c in ("bin", "good", "bad")))
+
+
 def features(texts: list[bytes], words: Words, hashes: np.ndarray) -> list[np.ndarray]:
     """``FEATURES`` of every text."""
     size = words.end - words.start
@@ -115,36 +192,30 @@ def repeated(words: Words, hashes: np.ndarray, k: int) -> np.ndarray:
     return sums(np.cumsum(covered[:-1]) > 0, words.first)
 
 
-def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
+def quality(docs: DataFrame, labels: DataFrame, threshold: float | None = None, id_col: str = "doc_id",
             text_col: str = "text", keep: tuple[str, ...] = (), most_trusted: int = TRUSTED_ROWS) -> DataFrame:
     """One row for each input row: ``doc_id``, the base features,
     ``base_failed``, ``score`` and ``kept``.
 
     A null or blank text has no words, fails the base rules and scores 0. A
     null id is scored like any other and never trusted. Without trusted
-    documents all scores are 0 and only the base rules decide. A score equal to
-    the threshold is kept. ``keep``: input columns handed on, as they are.
+    documents all scores are 0 and only the base rules decide. The cut is
+    ``threshold``, or else taken from the labelled documents (``best_cut``); a
+    score equal to it is kept. ``keep``: input columns handed on, as they are.
     Windows of three words are told apart by 64-bit hashes.
     """
     own = {f"keep_{i}": (c, dict(docs.dtypes)[c]) for i, c in enumerate(keep) if c != text_col}
     kept_text = ["text"] if text_col in keep else []
     docs = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"), **own)
-    weights = fit_weights(docs.select("doc_id", "text"), trusted_ids(labels, most=most_trusted))
-    table = docs.sparkSession.sparkContext.broadcast(weights)
-    least = round(threshold * _POINT)
+    good, bad = labelled_ids(labels, most=most_trusted)
+    texts_only = docs.select("doc_id", "text")
+    table = docs.sparkSession.sparkContext.broadcast(fit_weights(texts_only, good))
+    least = fit_cut(texts_only, table, good, bad) if threshold is None else round(threshold * _POINT)
 
     def score(batches):
         for batch in slices(batches, most=SCORED_BYTES):
-            texts = utf8(batch.column("text"))
-            words = Words(texts, NOT_BLANK)
-            hashes = words.hashes()
-            n, chars, symbols, lines, repeats = features(texts, words, hashes)
-            at, doc = buckets(words, hashes)
-            total = np.zeros(len(texts), np.int64)
-            np.add.at(total, doc, table.value[at])
-            grams_in = np.bincount(doc, minlength=len(texts))
-            failed = (n < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n)
-            out = [batch.column("doc_id"), n, chars, symbols, lines, repeats, failed,
+            found, failed, total, grams_in = scored(utf8(batch.column("text")), table.value)
+            out = [batch.column("doc_id"), *found, failed,
                    total / _POINT / np.maximum(grams_in, 1), ~failed & (total >= least * grams_in)]
             out += [batch.column(c) for c in [*own, *kept_text]]
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out], names=names)

@@ -219,6 +219,25 @@ def test_quality_separates_held_out_documents(spark):
     assert not any(out[i].kept for i, _ in bad)
 
 
+def test_quality_cut_follows_the_labels(spark):
+    r = random.Random(6)
+    good = [(i, " ".join(words(i, 150))) for i in range(300)]
+    bad = [(1000 + i, " ".join(w + r.choice(["%%%", "&&&", "", "", "", "", ""]) for w in words(1000 + i, 150))) for i in range(60)]
+    labels = [(i, 1, 0) for i in range(200)] + [(1000 + i, 0, 0) for i in range(30)] + [(1000, 0, 0), (None, 0, 0), (2000, 0, 0)]
+    out = {x.doc_id: x for x in quality.quality(make(spark, good + bad), make(spark, labels, "doc_id long, quality int, toxic int")).collect()}
+    assert sum(out[i].kept for i, _ in bad) <= 6
+    assert sum(out[i].kept for i, _ in good) >= 295
+
+
+def test_quality_best_cut():
+    cut = lambda *rows: quality.best_cut(*map(np.array, zip(*rows)))
+    assert cut((-50, 0, 3), (-20, 0, 1), (10, 4, 0)) == -4  # between -20 and 10
+    assert cut((-50, 0, 9), (-20, 1, 1), (10, 99, 0)) == -4  # one good document is lost
+    fixed = round(quality.THRESHOLD * quality._POINT) // quality._BIN
+    assert cut((5, 3, 0)) == cut((5, 3, 3)) == fixed and cut((fixed - 7, 3, 0)) == fixed - 7
+    assert quality.best_cut(*[np.zeros(0, np.int64)] * 3) == fixed
+
+
 def test_quality_score_does_not_depend_on_partitions(spark):
     docs, labels = make(spark, awkward()), make(spark, [(i, 1, 0) for i in range(11, 30)], "doc_id long, quality int, toxic int")
     a, b = (by_row(quality.quality(docs.repartition(n), labels).collect()) for n in (1, 5))

@@ -18,8 +18,8 @@ from beatline.plans import classification as C
 from beatline.plans import features as FT
 from beatline.plans.classifier import classifier_data, surrogate_predictions, train_weights
 from beatline.plans.params import (
-    CUT_YEAR, N_LOCATIONS, N_TYPES, PREVIEW_ROWS, SAMPLE_P, SEED, SHUFFLE_CAP,
-    TEST_FRACTION, TOP_TYPES_REPORT, YEARS, CAP_ROWS, NULL_KEY_CAP,
+    BOOSTED_CLASSIFIER, BOOSTED_REGRESSOR, CLASSES_AT_ONCE, CUT_YEAR, FOREST, N_LOCATIONS, N_TYPES,
+    PREVIEW_ROWS, SAMPLE_P, SEED, SHUFFLE_CAP, TEST_FRACTION, TOP_TYPES_REPORT, YEARS, CAP_ROWS, NULL_KEY_CAP,
 )
 from beatline.plans.regression import baseline_predictions, panel_from_incidents
 from beatline.schema import (
@@ -347,7 +347,7 @@ def q_weighted_rows(spark, sf):
 def q_model_roundtrip(spark, sf):
     """Test rows, and those whose prediction is the same after a save and a load."""
     _, train, test = _train_test(spark, sf)
-    model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight", num_trees=5, max_depth=4, seed=SEED)
+    model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight", **FOREST, seed=SEED)
     path = scratch_path(spark, "model")
     M.save_model(spark, model, path)
     again = M.load_model(spark, type(model), path)
@@ -361,7 +361,7 @@ def q_fitted_model_comparison(spark, sf):
     """Two fitted regressors and the naive forecasts, by the same metrics."""
     train, test = _panel_split(spark, sf)
     keys = ["district", "year", "month"]
-    trees = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", max_iter=20, seed=SEED)
+    trees = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED)
     huber = M.fit_huber_regressor(train, PANEL_FEATURES, "crime_count")
     preds = baseline_predictions(train.unionByName(test), CUT_YEAR)
     for name, model in (("boosted_trees", trees), ("huber_linear", huber)):
@@ -371,7 +371,7 @@ def q_fitted_model_comparison(spark, sf):
 
 def q_fitted_classification_report(spark, sf):
     cd, train, test = _train_test(spark, sf)
-    model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight", num_trees=10, max_depth=5, seed=SEED)
+    model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight", **FOREST, seed=SEED)
     out = model.transform(M.assemble(test, FEATURES_V2)).select("label", F.col("prediction").cast("int").alias("prediction"))
     return _r6(evaluate.classification_report(out, names=cd.names, name_col="primary_type"), ["precision", "recall", "f1"])
 
@@ -379,7 +379,7 @@ def q_fitted_classification_report(spark, sf):
 def q_fit_forest_classifier(spark, sf):
     cd, train, test = _train_test(spark, sf)
     model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight",
-                                    num_trees=10, max_depth=5, seed=SEED)
+                                    **FOREST, seed=SEED)
     out = model.transform(M.assemble(test, FEATURES_V2))
     return out.select(KEY, "label", F.col("prediction").cast("int").alias("prediction"))
 
@@ -387,8 +387,8 @@ def q_fit_forest_classifier(spark, sf):
 def q_fit_boosted_classifier(spark, sf):
     cd, train, test = _train_test(spark, sf)
     ovr = M.fit_boosted_classifier(train, test, FEATURES_V2, cd.num_classes, "label",
-                                   "weight", max_iter=4, max_depth=3, patience=2,
-                                   seed=SEED)
+                                   "weight", **BOOSTED_CLASSIFIER, seed=SEED,
+                                   parallelism=CLASSES_AT_ONCE)
     out = ovr.transform(test)
     return out.select(KEY, "label", F.col("prediction").cast("int").alias("prediction"))
 
@@ -400,8 +400,7 @@ def _panel_split(spark, sf):
 
 def q_fit_boosted_regressor(spark, sf):
     train, test = _panel_split(spark, sf)
-    model = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", max_iter=20,
-                                    seed=SEED)
+    model = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED)
     return M.predictions_frame(model, test, PANEL_FEATURES, ["district", "year", "month"],
                                "crime_count", "boosted_trees")
 
@@ -416,14 +415,13 @@ def q_fit_huber_regressor(spark, sf):
 def q_feature_importance(spark, sf):
     cd, train, test = _train_test(spark, sf)
     model = M.fit_forest_classifier(train, FEATURES_V2, "label", "weight",
-                                    num_trees=10, max_depth=5, seed=SEED)
+                                    **FOREST, seed=SEED)
     return M.feature_importance(spark, model, FEATURES_V2)
 
 
 def q_loss_curve(spark, sf):
     train, test = _panel_split(spark, sf)
-    model = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", max_iter=20,
-                                    seed=SEED)
+    model = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED)
     return M.loss_curve(model, {"train": train, "test": test}, PANEL_FEATURES,
                         "crime_count", "squared")
 

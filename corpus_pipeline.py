@@ -26,12 +26,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents that of least id stays. Rows
-    without an id stay."""
+    """Of each component of similar documents that of least id stays. Of rows
+    with the same id, or none, and the same text one stays, that of least other
+    columns. Rows without an id are in no component."""
     found = jaccard.jaccard_components(docs)
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
     kinds = dict(docs.dtypes)
-    return pick(docs, **{c: (c, kinds[c]) for c in COLUMNS}).join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*COLUMNS)
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    # Grouped before the join, so that rows without an id are spread by their text.
+    once = pick(docs, **{c: (c, kinds[c]) for c in COLUMNS}).groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest"))
+    return once.select("doc_id", "text", "rest.*").join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,15 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     check_packing([(r[0], r[1], r[3]) for r in left], corpus_pipeline.run(spark, folder).collect(), 2048)
 
 
+def test_near_duplicates_keep_one_of_repeated_rows(spark):
+    a, b, c = (" ".join(words(i, 60)) for i in (1, 2, 3))
+    rows = [(1, a, "en", "s", 1)] * 3 + [(2, a, "en", "s", 1)] * 2 + [(3, b, "en", "t", 1), (3, b, None, "s", 1), (3, b, "en", "s", 2)]
+    rows += [(None, c, "en", "s", 1)] * 3 + [(None, a, "en", "s", 1), (4, None, "en", "s", 0), (4, None, "en", "s", 0), (4, "", "en", "s", 0)]
+    out = corpus_pipeline.near_duplicates(spark, make(spark, rows, DOCS), "").collect()
+    want = [(1, a, "en", "s", 1), (3, b, None, "s", 1), (None, c, "en", "s", 1), (None, a, "en", "s", 1), (4, None, "en", "s", 0), (4, "", "en", "s", 0)]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
+
+
 def test_redaction_of_overlaps(spark):
     text = "é token=AKIA" + "X" * 20 + " z " + "a" * 30
     out = secrets.find_secrets(make(spark, [(1, text), (2, "")]), keep=("text",))

@@ -72,9 +72,51 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
        CASE WHEN page_id < largest THEN largest END AS refers_to
 FROM p JOIN g USING (html)"""
 
+def _op11() -> str:
+    """Each round is a pair of tables: ``a`` (assignment) and ``c`` (centroids).
+    Squares of whole numbers are exact in doubles below 2^53."""
+    near = """(SELECT v.*, c, (ss - 2 * list_inner_product(x, z) + zz) AS dist FROM v CROSS JOIN
+  (SELECT c, z, list_inner_product(z, z) AS zz FROM c{r}))"""
+    parts = ["""
+v AS MATERIALIZED (SELECT vec_id, rid, x, list_inner_product(x, x) AS ss FROM (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, e -> floor(1024 * CAST(e AS DOUBLE))) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, e -> e IS NOT NULL AND isfinite(e))) = 64)),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x AS z FROM v
+  WHERE vec_id IS NOT NULL ORDER BY sha256('3:' || vec_id) LIMIT 8)"""]
+    for r in range(11):
+        parts.append(f"""
+a{r} AS MATERIALIZED (SELECT vec_id, rid, x, arg_min(c, (dist, c)) AS c, min(dist) AS dist FROM {near.format(r=r)} GROUP BY ALL)""")
+        if r < 10:
+            parts.append(f"""
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m.z, o.z) AS z FROM c{r} o LEFT JOIN
+  (SELECT c, list(m ORDER BY d) AS z FROM (SELECT c, d, floor(sum(e) / count(*)) AS m FROM
+    (SELECT c, unnest(x) AS e, unnest(range(64)) AS d FROM a{r}) GROUP BY c, d) GROUP BY c) m USING (c))""")
+    return "WITH " + ",".join(parts) + """
+SELECT vec_id, CAST(c AS INT) AS cluster, CAST(dist AS BIGINT) AS distance,
+       CAST(sum(dist) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(dist) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(z, e -> CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a10 JOIN c10 USING (c)"""
+
+
+_OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_low('text')}, {_ALNUM}) AS w FROM documents),
+tf AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM d) GROUP BY rid, t),
+size AS (SELECT count(*) AS n, sum(len(w)) AS l FROM d WHERE len(w) > 0),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+q AS (SELECT qid, item_id, t, count(*) AS times FROM
+      (SELECT row_number() OVER () AS qid, item_id, unnest(regexp_extract_all({_low('text')}, {_ALNUM})) AS t FROM benchmark) GROUP BY ALL),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, size),
+norm AS (SELECT rid, doc_id, CAST(25 + (75 * len(w) * n) // l AS BIGINT) AS m FROM d, size WHERE len(w) > 0),
+scored AS (SELECT qid, item_id, doc_id, rid, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS score
+           FROM q JOIN weight USING (t) JOIN tf USING (t) JOIN norm USING (rid) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id, rid) AS r FROM scored WHERE score > 0)
+SELECT item_id, CAST(r AS INT) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE r <= 10"""
+
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": _OP2,
     "op4_decontamination": _OP4,
     "op6_jaccard_join": _OP6,
     "op9_warc": _OP9,
+    "op11_centroid_clustering": _op11(),
+    "op12_lexical_search": _OP12,
 }

@@ -4,7 +4,8 @@ Each runs its operator with production parameters over its whole tables."""
 
 from __future__ import annotations
 
-from beatline.llm import chat, decontaminate, jaccard, licenses, packing, quality, secrets, substring_dedup, token_counts, warc
+from beatline.llm import (centroids, chat, decontaminate, jaccard, lexical, licenses, ngram_model, packing, quality, secrets,
+                          substring_dedup, token_counts, warc)
 from beatline.llm.common import table
 from beatline.llm.oracle import ORACLE  # noqa: F401
 
@@ -52,6 +53,19 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path("piece_bpe_32k.model"))
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_lm_scoring(spark, sf_dir):
+    return ngram_model.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_substring_dedup, op3_quality_rules, op4_decontamination, op5_secret_scans, op6_jaccard_join,
-    op7_chat_formatting, op8_license_scans, op9_warc, op10_token_counts)}
+    op7_chat_formatting, op8_license_scans, op9_warc, op10_token_counts,
+    op11_centroid_clustering, op12_lexical_search, op13_lm_scoring)}

@@ -64,6 +64,16 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return drop_null_keys(df, df.columns)
 
 
+def row_identity(df: DataFrame, key: str) -> Column:
+    """The key as text; for a row without one the texts of its other string,
+    whole-number and boolean columns, so that such rows are told apart (rows equal
+    in all of them are not)."""
+    plain = (T.StringType, T.BooleanType, T.IntegralType)
+    rest = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in df.schema.fields
+            if f.name != key and isinstance(f.dataType, plain)]
+    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("|"), F.concat_ws("|", *rest)))
+
+
 def row_hash(key, seed: int = 42) -> Column:
     """Hex md5 of ``seed|key``: a repeatable per-row random string.
 
@@ -94,11 +104,12 @@ def sample_fraction(df: DataFrame, p: float = 0.05, seed: int = 42,
     """Bernoulli row sample.
 
     With a key the sample is a hash threshold: a per-row filter, no shuffle,
-    the same rows on every run and in SQL. Without one, ``df.sample``.
+    the same rows on every run and in SQL; rows whose key is null are drawn by
+    their other columns (``row_identity``). Without one, ``df.sample``.
     """
     if key is None:
         return df.sample(withReplacement=False, fraction=p, seed=seed)
-    return df.filter(hash_below(key, p, seed))
+    return df.filter(hash_below(row_identity(df, key), p, seed))
 
 
 def shuffled_cap(df: DataFrame, n: int, seed: int = 42,
@@ -108,9 +119,9 @@ def shuffled_cap(df: DataFrame, n: int, seed: int = 42,
     The order is a per-row hash, so it is repeatable, and one plan at every
     size: each task keeps its own first ``n`` rows and only those are merged
     (TakeOrderedAndProject; a sort where ``n`` exceeds Spark's top-k limit).
-    Rows with a null key take part like others.
+    Rows with a null key take part like others, by their other columns.
     """
-    order = row_hash(key, seed if order_seed is None else order_seed)
+    order = row_hash(row_identity(df, key), seed if order_seed is None else order_seed)
     return df.orderBy(order, F.col(key)).limit(n)
 
 

@@ -29,8 +29,9 @@ def monthly_counts(df: DataFrame, keys: Sequence[str] = ("district", "year", "mo
             .orderBy("year", "month", "district"))
 
 
-#: Codes below this bound are packed with a count into one integer.
-CODE_BOUND = 1 << 20
+#: A count and a code, each of up to 19 digits, packed into one decimal.
+_CODES = "CAST('10000000000000000000' AS DECIMAL(20,0))"
+_LARGEST_CODE = "CAST('9223372036854775807' AS DECIMAL(19,0))"
 _SUMS = ("arrest_int", "domestic_int", "hour_of_day", "is_rush_hour", "is_weekend")
 
 
@@ -44,7 +45,7 @@ def panel_aggregate(df: DataFrame, district: str = "district") -> DataFrame:
     rows and add up the rates' columns (a group is at most as many rows as the
     three code domains have values); the second level counts the wards and
     areas that occur and takes the location of the greatest count, ties to the
-    least code (a whole number below ``CODE_BOUND``).
+    least code (any whole number of 64 bits; another one is an error).
     """
     keyed = df.filter(F.col(district).isNotNull() & F.col("year").isNotNull()
                       & F.col("month").isNotNull())
@@ -54,7 +55,11 @@ def panel_aggregate(df: DataFrame, district: str = "district") -> DataFrame:
         F.grouping_id(*keys, *part).alias("_set"), F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"_{c}") for c in _SUMS], *[F.count(c).alias(f"_n_{c}") for c in _SUMS])
     ward, area, place = (F.col("_set") == g for g in (0b011, 0b101, 0b110))
-    packed = F.col("_n") * CODE_BOUND + (CODE_BOUND - 1 - F.col("location_encoded").cast("bigint"))
+    # A decimal keeps the buffer of the maximum at a fixed size (a struct would be sorted).
+    code = F.col("location_encoded").cast("bigint")
+    whole = F.when(code == F.col("location_encoded"), code).otherwise(F.raise_error(F.lit("a location code is not a whole number")))
+    packed = (F.col("_n").cast("decimal(18,0)") * F.expr(_CODES)).cast("decimal(38,0)") + (
+        F.expr(_LARGEST_CODE) - whole.cast("decimal(19,0)"))
     mean = lambda c: F.sum(F.when(place, F.col(f"_{c}"))) / F.sum(F.when(place, F.col(f"_n_{c}")))
     agg = level.groupBy(district, "year", "month").agg(
         F.sum(F.when(place, F.col("_n"))).alias("crime_count"),
@@ -65,10 +70,10 @@ def panel_aggregate(df: DataFrame, district: str = "district") -> DataFrame:
         mean("is_weekend").alias("weekend_rate"),
         F.count(F.when(ward, F.col("ward"))).alias("unique_wards"),
         F.count(F.when(area, F.col("community_area"))).alias("unique_communities"),
-        F.max(F.when(place & F.col("location_encoded").isNotNull(), packed)).alias("_top"),
+        F.max(F.when(place & F.col("location_encoded").isNotNull(), packed.cast("decimal(38,0)"))).alias("_top"),
     )
-    code = CODE_BOUND - 1 - F.pmod("_top", F.lit(CODE_BOUND))
-    agg = agg.withColumn("top_location", code.cast(df.schema["location_encoded"].dataType)).drop("_top")
+    top = F.expr(_LARGEST_CODE) - F.col("_top") % F.expr(_CODES)
+    agg = agg.withColumn("top_location", top.cast("bigint").cast(df.schema["location_encoded"].dataType)).drop("_top")
     return agg.withColumn("season", season("month", strict=True))
 
 

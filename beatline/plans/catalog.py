@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from beatline.operators import encoders, evaluate, explore, filters, panel, scaling, split
 from beatline.operators import models as M
+from beatline.operators.boosting import gain_importance
 from beatline.plans import classification as C
 from beatline.plans import features as FT
-from beatline.plans.classifier import classifier_data, surrogate_predictions, train_weights
+from beatline.plans.classifier import classifier_data, surrogate_counts, surrogate_predictions, train_weights
 from beatline.plans.params import (
-    BOOSTED_CLASSIFIER, BOOSTED_REGRESSOR, CLASSES_AT_ONCE, CUT_YEAR, FOREST, N_LOCATIONS, N_TYPES,
+    BOOSTED_CLASSIFIER, BOOSTED_REGRESSOR, CUT_YEAR, FOREST, N_LOCATIONS, N_TYPES,
     PREVIEW_ROWS, SAMPLE_P, SEED, SHUFFLE_CAP, TEST_FRACTION, TOP_TYPES_REPORT, YEARS, CAP_ROWS, NULL_KEY_CAP,
 )
 from beatline.plans.regression import baseline_predictions, panel_from_incidents
@@ -274,8 +275,8 @@ def q_standardize_population(spark, sf):
 
 # --- splits, weights, evaluation on surrogate predictions -------------------
 
-def _cd(spark, sf):
-    return classifier_data(_inc(spark, sf), YEARS, N_TYPES, N_LOCATIONS, TEST_FRACTION, SEED)
+def _cd(spark, sf, features=()):
+    return classifier_data(_inc(spark, sf), YEARS, N_TYPES, N_LOCATIONS, TEST_FRACTION, SEED, features=features)
 
 
 def q_stratified_split(spark, sf):
@@ -298,15 +299,13 @@ def q_multiclass_log_loss(spark, sf):
 
 def q_classification_report(spark, sf):
     cd = _cd(spark, sf)
-    pred = surrogate_predictions(cd)
-    rep = evaluate.classification_report(pred, names=cd.names, name_col="primary_type")
+    rep = evaluate.classification_report(surrogate_counts(cd), names=cd.names, name_col="primary_type", weight="n")
     return _r6(rep, ["precision", "recall", "f1"])
 
 
 def q_confusion_matrix(spark, sf):
     cd = _cd(spark, sf)
-    pred = surrogate_predictions(cd)
-    return _r6(evaluate.confusion_matrix(pred, cd.num_classes), ["row_share"])
+    return _r6(evaluate.confusion_matrix(surrogate_counts(cd), cd.num_classes, weight="n"), ["row_share"])
 
 
 def _preds(spark, sf):
@@ -332,15 +331,15 @@ def q_prediction_sample(spark, sf):
 
 # --- models (rows-only checks) -----------------------------------------------
 
-def _train_test(spark, sf):
-    cd = _cd(spark, sf)
+def _train_test(spark, sf, features=FEATURES_V2):
+    cd = _cd(spark, sf, features)
     w = train_weights(cd)
     rows = split.with_class_weights(cd.rows, w, bound=N_TYPES)
     return cd, rows.filter(~F.col("is_test")), rows.filter(F.col("is_test"))
 
 
 def q_weighted_rows(spark, sf):
-    _, train, _ = _train_test(spark, sf)
+    _, train, _ = _train_test(spark, sf, ())
     return train.select(KEY, "label", "weight")
 
 
@@ -358,13 +357,14 @@ def q_model_roundtrip(spark, sf):
 
 
 def q_fitted_model_comparison(spark, sf):
-    """Two fitted regressors and the naive forecasts, by the same metrics."""
+    """Three fitted regressors and the naive forecasts, by the same metrics."""
     train, test = _panel_split(spark, sf)
     keys = ["district", "year", "month"]
-    trees = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED)
+    trees = _regressor(spark, sf)
+    robust = M.fit_robust_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED)
     huber = M.fit_huber_regressor(train, PANEL_FEATURES, "crime_count")
     preds = baseline_predictions(train.unionByName(test), CUT_YEAR)
-    for name, model in (("boosted_trees", trees), ("huber_linear", huber)):
+    for name, model in (("boosted_trees", trees), ("robust_trees", robust), ("huber_linear", huber)):
         preds = preds.unionByName(M.predictions_frame(model, test, PANEL_FEATURES, keys, "crime_count", name))
     return _r6(evaluate.regression_metrics(preds, by=["model"]), _METRICS)
 
@@ -384,13 +384,64 @@ def q_fit_forest_classifier(spark, sf):
     return out.select(KEY, "label", F.col("prediction").cast("int").alias("prediction"))
 
 
-def q_fit_boosted_classifier(spark, sf):
+#: Models fitted, by session, folder and kind: where they are saved. The queries
+#: on one model share its fit and read it back from there.
+_SAVED: dict[tuple, str] = {}
+
+
+def _saved(spark, sf, kind, fit):
+    at = spark, sf, kind
+    if at not in _SAVED:
+        model = fit()
+        _SAVED[at] = scratch_path(spark, kind)
+        M.save_model(spark, model, _SAVED[at])
+    return M.load_model(spark, M.BoostedTrees, _SAVED[at])
+
+
+def _classifier(spark, sf):
+    """The boosted classifier, and its data with the test rows."""
     cd, train, test = _train_test(spark, sf)
-    ovr = M.fit_boosted_classifier(train, test, FEATURES_V2, cd.num_classes, "label",
-                                   "weight", **BOOSTED_CLASSIFIER, seed=SEED,
-                                   parallelism=CLASSES_AT_ONCE)
-    out = ovr.transform(test)
-    return out.select(KEY, "label", F.col("prediction").cast("int").alias("prediction"))
+    return _saved(spark, sf, "boosted-classifier", lambda: M.fit_boosted_classifier(
+        train, test, FEATURES_V2, cd.num_classes, "label", "weight", **BOOSTED_CLASSIFIER, seed=SEED)), cd, test
+
+
+def _regressor(spark, sf):
+    def fit():
+        train, test = _panel_split(spark, sf)
+        return M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED, valid=test)
+    return _saved(spark, sf, "boosted-regressor", fit)
+
+
+def q_fit_boosted_classifier(spark, sf):
+    model, _, test = _classifier(spark, sf)
+    return model.transform(test).select(KEY, "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+def q_boosted_classification_report(spark, sf):
+    """The evaluation of the trained classifier (V1)."""
+    model, cd, test = _classifier(spark, sf)
+    rep = evaluate.classification_report(model.transform(test), names=cd.names, name_col="primary_type")
+    return _r6(rep, ["precision", "recall", "f1"])
+
+
+def q_boosted_log_loss(spark, sf):
+    """The validation loss of the trained classifier (L7) beside the surrogate's."""
+    model, cd, test = _classifier(spark, sf)
+    mine = model.transform(test).withColumn("prob_true", F.get("probability", F.col("label")))
+    one = lambda name, df: evaluate.multiclass_log_loss(df, "prob_true").select(F.lit(name).alias("model"), "log_loss", "rows")
+    return _r6(one("boosted", mine).unionByName(one("group_frequency", surrogate_predictions(cd))), ["log_loss"])
+
+
+def q_boosted_importance(spark, sf):
+    """Raw gain and splits of each feature, from the saved model's node table (L4)."""
+    model, _, _ = _classifier(spark, sf)
+    return gain_importance(model.nodes(spark), FEATURES_V2)
+
+
+def q_boosted_loss_curve(spark, sf):
+    """Training and validation loss of the classifier by round."""
+    model, _, _ = _classifier(spark, sf)
+    return M.training_losses(spark, model)
 
 
 def _panel_split(spark, sf):
@@ -399,8 +450,8 @@ def _panel_split(spark, sf):
 
 
 def q_fit_boosted_regressor(spark, sf):
-    train, test = _panel_split(spark, sf)
-    model = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED)
+    _, test = _panel_split(spark, sf)
+    model = _regressor(spark, sf)
     return M.predictions_frame(model, test, PANEL_FEATURES, ["district", "year", "month"],
                                "crime_count", "boosted_trees")
 
@@ -421,9 +472,7 @@ def q_feature_importance(spark, sf):
 
 def q_loss_curve(spark, sf):
     train, test = _panel_split(spark, sf)
-    model = M.fit_boosted_regressor(train, PANEL_FEATURES, "crime_count", **BOOSTED_REGRESSOR, seed=SEED)
-    return M.loss_curve(model, {"train": train, "test": test}, PANEL_FEATURES,
-                        "crime_count", "squared")
+    return M.loss_curve(_regressor(spark, sf), {"train": train, "test": test}, "crime_count")
 
 
 QUERIES: dict[str, Query] = {

@@ -52,18 +52,24 @@ def _type_codes(counts_source: DataFrame, n_types: int, weight: str | None) -> D
 @dataclass
 class CodeTables:
     types: DataFrame         # primary_type, n, label (top N, freq order)
-    location_top: DataFrame  # location_description, n (top N)
-    locations: DataFrame     # location_description_clean, n, location_encoded
+    location_top: DataFrame | None  # location_description, n (top N)
+    locations: DataFrame | None     # location_description_clean, n, location_encoded
     descriptions: DataFrame  # description_grouped, n, description_encoded
 
 
 def fit_codes(d2: DataFrame, n_types: int = 10, n_locations: int = 50,
-              other: str = OTHER) -> CodeTables:
-    """Every list and code table, read off the profile of the cleaned rows."""
+              other: str = OTHER, locations: bool = True) -> CodeTables:
+    """Every list and code table, read off the profile of the cleaned rows;
+    without ``locations`` those of types and descriptions only."""
+    place = ["location_description"] if locations else []
     profile = checkpoint_small(
-        d2.groupBy("location_description", "description_grouped", "primary_type")
-        .agg(F.count(F.lit(1)).alias("n")))
+        d2.groupBy(*place, "description_grouped", "primary_type").agg(F.count(F.lit(1)).alias("n")))
     types = _type_codes(profile, n_types, "n")
+    desc_codes = frequency_code_table(
+        profile.groupBy("description_grouped").agg(F.sum("n").alias("n")),
+        "description_grouped", code_name="description_encoded")
+    if not locations:
+        return CodeTables(types, None, None, desc_codes)
     loc_top = top_n_keys(profile, "location_description", n_locations, weight="n")
 
     # Location counts after bucketing: each profile row takes its clean value
@@ -76,9 +82,6 @@ def fit_codes(d2: DataFrame, n_types: int = 10, n_locations: int = 50,
     loc_codes = frequency_code_table(
         loc_clean.groupBy("location_description_clean").agg(F.sum("n").alias("n")),
         "location_description_clean", code_name="location_encoded")
-    desc_codes = frequency_code_table(
-        profile.groupBy("description_grouped").agg(F.sum("n").alias("n")),
-        "description_grouped", code_name="description_encoded")
     return CodeTables(types, loc_top, loc_codes, desc_codes)
 
 
@@ -87,25 +90,46 @@ def build_v2(incidents: DataFrame, years: tuple[int, int] | None = None,
              key: str | None = "incident_key") -> ClassificationSet:
     d2 = cleaned_features(incidents, 2, years)
     codes = fit_codes(d2, n_types, n_locations, other)
-    fitted = collect_code_maps({
-        "type": (codes.types, "primary_type", "label"),
-        "top": (codes.location_top.withColumn("_none", F.lit(None)), "location_description", "_none"),
-        "location": (codes.locations, "location_description_clean", "location_encoded"),
-        "description": (codes.descriptions, "description_grouped", "description_encoded"),
-    })
-    top_types = list(fitted["type"])
-    clean = (F.when(F.col("location_description").isin(list(fitted["top"])),
-                    F.col("location_description")).otherwise(F.lit(other)))
-    rows = (d2.filter(F.col("primary_type").isin(top_types))
-            .withColumn("label", map_lookup(fitted["type"], "primary_type"))
-            .withColumn("location_encoded", map_lookup(fitted["location"], clean))
-            .withColumn("description_encoded",
-                        map_lookup(fitted["description"], "description_grouped")))
+    rows = encode_rows(d2, codes, n_types, n_locations, other)
     keep = ([key] if key and key in d2.columns else [])
     rows = rows.select(*keep, *FEATURES_V2, "label", "primary_type")
     return ClassificationSet(rows, codes.types, codes.location_top, codes.locations, codes.descriptions, d2)
 
 
+#: Up to so many values, known from the parameters, codes are literals.
+MOST_LITERALS = 2_000
+
+
+def encode_rows(d2: DataFrame, codes: CodeTables, n_types: int, n_locations: int, other: str = OTHER) -> DataFrame:
+    """The rows of the top types with ``label``, ``description_encoded`` and, if
+    fitted, ``location_encoded``: by literal lookups, or by joins with the code
+    tables where the parameters allow more than ``MOST_LITERALS`` values."""
+    places = codes.locations is not None
+    if n_types + 2 * n_locations * places + 1 > MOST_LITERALS:
+        rows = apply_code_table(d2, codes.types, "primary_type", "label", bound=n_types)
+        rows = apply_code_table(rows, codes.descriptions, "description_grouped", "description_encoded", how="left")
+        if not places:
+            return rows
+        top = codes.location_top.withColumn("_clean", F.col("location_description"))
+        rows = apply_code_table(rows, top, "location_description", "_clean", bound=n_locations, how="left")
+        rows = rows.withColumn("_clean", F.coalesce("_clean", F.lit(other)))
+        table = codes.locations.withColumnRenamed("location_description_clean", "_clean")
+        return apply_code_table(rows, table, "_clean", "location_encoded", bound=n_locations + 1, how="left").drop("_clean")
+    tables = {"type": (codes.types, "primary_type", "label"),
+              "description": (codes.descriptions, "description_grouped", "description_encoded")}
+    if places:
+        tables["top"] = (codes.location_top.withColumn("_none", F.lit(None)), "location_description", "_none")
+        tables["location"] = (codes.locations, "location_description_clean", "location_encoded")
+    fitted = collect_code_maps(tables)
+    rows = (d2.filter(F.col("primary_type").isin(list(fitted["type"])))
+            .withColumn("label", map_lookup(fitted["type"], "primary_type"))
+            .withColumn("description_encoded", map_lookup(fitted["description"], "description_grouped")))
+    if not places:
+        return rows
+    clean = F.when(F.col("location_description").isin(list(fitted["top"])), F.col("location_description")).otherwise(F.lit(other))
+    return rows.withColumn("location_encoded", map_lookup(fitted["location"], clean))
+
+
 def build_v1(incidents: DataFrame, years: tuple[int, int] | None = None,
              n_types: int = 10, key: str | None = "incident_key") -> ClassificationSet:
     """v1: 8 key columns, 10 features; the saved values are unscaled."""

@@ -129,7 +129,13 @@ SELECT * REPLACE ({AWKWARD_SQL} AS description) FROM extract"""),
     "null_keys": with_ctes(["extract"], [("holes", """
 SELECT * REPLACE (CASE WHEN hour_of_day = 3 THEN NULL ELSE incident_key END AS incident_key)
 FROM extract""")], f"""
-SELECT 'sampled' AS what, count(*) AS n FROM holes WHERE {_sample_pred(SAMPLE_P, SEED)}
+SELECT 'sampled' AS what, count(*) AS n FROM
+  (SELECT * REPLACE (coalesce(incident_key, '|' || concat_ws('|', coalesce(primary_type, ''), coalesce(description, ''),
+     coalesce(location_description, ''), coalesce(CAST(arrest AS VARCHAR), ''), coalesce(CAST(domestic AS VARCHAR), ''),
+     coalesce(CAST(district AS VARCHAR), ''), coalesce(CAST(ward AS VARCHAR), ''), coalesce(CAST(community_area AS VARCHAR), ''),
+     coalesce(CAST(year AS VARCHAR), ''), coalesce(CAST(month AS VARCHAR), ''), coalesce(CAST(day_of_week AS VARCHAR), ''),
+     coalesce(CAST(hour_of_day AS VARCHAR), ''))) AS incident_key) FROM holes)
+  WHERE {_sample_pred(SAMPLE_P, SEED)}
 UNION ALL SELECT 'capped', least(count(*), {NULL_KEY_CAP}) FROM holes
 UNION ALL SELECT 'split', count(*) FROM holes"""),
     "capped_sample": with_ctes(["extract"], [], f"""

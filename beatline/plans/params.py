@@ -21,7 +21,5 @@ TOP_TYPES_REPORT = 20
 # The models of the registered queries: the reference's rounds, rate, depth and
 # patience (its 1500 rounds are those of the classifier notebook).
 FOREST = {"num_trees": 50, "max_depth": 8}
-BOOSTED_CLASSIFIER = {"max_iter": 1500, "step_size": 0.05, "max_depth": 8, "patience": 50}
+BOOSTED_CLASSIFIER = {"max_iter": 1500, "step_size": 0.05, "max_depth": 8, "max_leaves": 63, "patience": 50}
 BOOSTED_REGRESSOR = {"max_iter": 500, "step_size": 0.05, "max_depth": 4}
-#: Classes fitted at the same time.
-CLASSES_AT_ONCE = N_TYPES

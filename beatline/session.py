@@ -97,6 +97,13 @@ def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame
     return spark.read.parquet(path)
 
 
+def release_path(spark: SparkSession, path: str) -> bool:
+    """Delete one written stage that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True)) if fs.exists(p) else False
+
+
 def release_materialized(spark: SparkSession) -> int:
     """Delete the stages this application wrote with ``materialize``.
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from beatline.operators import encoders
 
 
@@ -53,3 +54,12 @@ def test_apply_code_table_skips_unseen(spark):
     assert out.count() == 6
     left = encoders.apply_code_table(df, table, "v", "code", bound=2, how="left")
     assert left.count() == df.count() and left.filter("code IS NULL").count() == 7
+
+
+def test_codes_by_joins_equal_codes_by_literals(spark, monkeypatch):
+    from beatline.plans import classification as C
+    from beatline.sources.fixture import fixture_incidents
+    inc = fixture_incidents(spark, SF_SMALL)
+    literal = C.build_v2(inc, (1995, 2000)).rows.orderBy("incident_key").collect()
+    monkeypatch.setattr(C, "MOST_LITERALS", 0)
+    assert C.build_v2(inc, (1995, 2000)).rows.orderBy("incident_key").collect() == literal

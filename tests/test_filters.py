@@ -97,3 +97,10 @@ def test_year_window_reaches_a_stored_tables_scan(spark, tmp_dir):
     df.write.parquet(f"{tmp_dir}/t")
     plan = filters.year_between(spark.read.parquet(f"{tmp_dir}/t"), 2016, 2017)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(date,2016-01-01" in plan and "LessThan(date,2018-01-01" in plan
+
+
+def test_null_key_rows_are_sampled_one_by_one(spark):
+    rows = [(None, i, f"t{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "incident_key string, v int, t string")
+    kept = [filters.sample_fraction(df, 0.05, seed).count() for seed in (1, 2, 3, 46)]
+    assert all(20 <= n <= 90 for n in kept)

@@ -9,7 +9,8 @@ from beatline.plans import catalog
 
 WANT = {
     "fit_forest_classifier": {"num_trees": 50, "max_depth": 8},
-    "fit_boosted_classifier": {"max_iter": 1500, "step_size": 0.05, "max_depth": 8, "patience": 50},
+    "fit_boosted_classifier": {"max_iter": 1500, "step_size": 0.05, "max_depth": 8, "max_leaves": 63, "patience": 50, "min_instances": 20,
+                               "subsampling_rate": 0.8, "subsampling_rounds": 5, "feature_share": 0.8},
     "fit_boosted_regressor": {"max_iter": 500, "step_size": 0.05, "max_depth": 4},
 }
 
@@ -19,7 +20,9 @@ class Fitted(Exception):
 
 
 @pytest.mark.parametrize("key, fit", [
-    ("fit_boosted_classifier", "fit_boosted_classifier"), ("fit_boosted_regressor", "fit_boosted_regressor"),
+    ("fit_boosted_classifier", "fit_boosted_classifier"), ("boosted_classification_report", "fit_boosted_classifier"),
+    ("boosted_importance", "fit_boosted_classifier"), ("boosted_loss_curve", "fit_boosted_classifier"),
+    ("boosted_log_loss", "fit_boosted_classifier"), ("fit_boosted_regressor", "fit_boosted_regressor"),
     ("loss_curve", "fit_boosted_regressor"), ("fitted_model_comparison", "fit_boosted_regressor"),
     ("fit_forest_classifier", "fit_forest_classifier"), ("feature_importance", "fit_forest_classifier"),
     ("model_roundtrip", "fit_forest_classifier"), ("fitted_classification_report", "fit_forest_classifier")])

@@ -101,3 +101,11 @@ def test_calendar_history_fills_gaps_with_null(spark):
         want = lookup.get((r.district, i - 12))
         assert (want is None and pd.isna(r.crime_count_yoy)) or r.crime_count_yoy == want
     assert len(df) == len(got)
+
+
+def test_mode_of_large_codes(spark):
+    rows = [(1, 2016, 1, 0, 0, 5, 0, 0, 1, 1, c) for c in (1100000.0, 1100000.0, 3.0)] + [
+        (2, 2016, 1, 0, 0, 5, 0, 0, 1, 1, c) for c in (2.0 ** 40, 7.0, 2.0 ** 40, 7.0, -5.0)]
+    df = spark.createDataFrame(rows, "district int, year int, month int, arrest_int int, domestic_int int, hour_of_day int, "
+                                     "is_rush_hour int, is_weekend int, ward int, community_area int, location_encoded double")
+    assert {r.district: r.top_location for r in panel.panel_aggregate(df).collect()} == {1: 1100000.0, 2: 7.0}

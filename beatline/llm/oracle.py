@@ -79,8 +79,8 @@ def _op11() -> str:
   (SELECT c, z, list_inner_product(z, z) AS zz FROM c{r}))"""
     parts = ["""
 v AS MATERIALIZED (SELECT vec_id, rid, x, list_inner_product(x, x) AS ss FROM (
-  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, e -> floor(1024 * CAST(e AS DOUBLE))) AS x FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(embedding, e -> e IS NOT NULL AND isfinite(e))) = 64)),
+  SELECT vec_id, row_number() OVER () AS rid, [floor(1024 * CAST(e AS DOUBLE)) FOR e IN embedding] AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NOT NULL AND isfinite(e)]) = 64)),
 c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x AS z FROM v
   WHERE vec_id IS NOT NULL ORDER BY sha256('3:' || vec_id) LIMIT 8)"""]
     for r in range(11):
@@ -94,7 +94,7 @@ c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m.z, o.z) AS z FROM c{r} o LEFT JOI
     return "WITH " + ",".join(parts) + """
 SELECT vec_id, CAST(c AS INT) AS cluster, CAST(dist AS BIGINT) AS distance,
        CAST(sum(dist) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(dist) OVER () AS BIGINT) AS inertia,
-       sha256(array_to_string(list_transform(z, e -> CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+       sha256(array_to_string([CAST(CAST(e AS BIGINT) AS VARCHAR) FOR e IN z], ',')) AS centroid_sha256
 FROM a10 JOIN c10 USING (c)"""
 
 

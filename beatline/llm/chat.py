@@ -193,11 +193,15 @@ def fit(chats: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_
 
 
 def format_chats(chats: DataFrame, model: Model, id_col: str = "conv_id", turn_col: str = "turn",
-                 role_col: str = "role", text_col: str = "text") -> DataFrame:
+                 role_col: str = "role", text_col: str = "text", trust_roles: bool = True) -> DataFrame:
     """One row for each turn found: ``conv_id``, ``turn`` and ``part`` (the
     row's turn, and which of the turns found in it), ``marked`` (the role its
-    marker names, or null), ``role`` (recovered), ``text`` and ``rendered``
-    (``<|role|>``, the text, ``<|end|>``).
+    marker names, or null), ``role`` (recovered), ``text``, ``rendered``
+    (``<|role|>``, the text, ``<|end|>``) and ``given`` (the role that the row itself
+    names, or null).
+
+    A row's role marks its first line; without ``trust_roles`` the decoder does
+    not see it and goes by the text alone.
 
     Rows of a conversation are ordered by turn, then role and text; repeated
     rows are turns of their own; a null turn comes first. A null text is an
@@ -206,8 +210,11 @@ def format_chats(chats: DataFrame, model: Model, id_col: str = "conv_id", turn_c
     """
     rows = _rows(chats, id_col, turn_col, role_col, text_col)
 
+    def cut_row(name, text):
+        return lines_of(text, name if trust_roles else None)
+
     def reduce(group):
-        seen = np.concatenate([lines_of(text, name)[1] for _, _, _, name, text in group])
+        seen = np.concatenate([cut_row(name, text)[1] for _, _, _, name, text in group])
         rest = model.matrix(seen[1:]).ravel().tolist() if len(seen) > 1 else None
         opening = (model.start + model.scores(seen[:1])[0]).tolist()
         return [(*group[0][:2], model.matrix(seen).ravel().tolist(), opening, rest)]
@@ -238,12 +245,12 @@ def format_chats(chats: DataFrame, model: Model, id_col: str = "conv_id", turn_c
         .select(*[rows[c] for c in _ROW], "before", "end")
 
     def render(group):
-        cut = [lines_of(r[4], r[3]) for r in group]
+        cut = [cut_row(r[3], r[4]) for r in group]
         before, end = group[0][5:]
         states = model.path(np.concatenate([s for _, s in cut]), None if before < 0 else before, end)
         out, at = [], 0
-        for (conv, _, turn, *_), (lines, seen) in zip(group, cut):
-            turns = []
+        for (conv, _, turn, name, *_), (lines, seen) in zip(group, cut):
+            turns, given = [], ROLE_OF.get((name or "").strip().lower())
             for line, features, state in zip(lines, seen, states[at:at + len(lines)]):
                 role, begins = STATES[state]
                 if begins or not turns:
@@ -252,9 +259,9 @@ def format_chats(chats: DataFrame, model: Model, id_col: str = "conv_id", turn_c
             at += len(lines)
             for part, (role, marked, text) in enumerate(turns):
                 text = "\n".join(text).strip()
-                out.append((conv, turn, part, marked, role, text, f"<|{role}|>\n{text}\n<|end|>"))
+                out.append((conv, turn, part, marked, role, text, f"<|{role}|>\n{text}\n<|end|>", given))
         return out
 
     return _by_group(joined, ("conv_id", "segment"), ("turn", "role", "text"), render,
-                     "conv_id string, turn long, part int, marked string, role string, text string, rendered string") \
+                     "conv_id string, turn long, part int, marked string, role string, text string, rendered string, given string") \
         .withColumn("conv_id", F.col("conv_id").cast("long"))

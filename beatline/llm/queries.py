@@ -36,7 +36,8 @@ def op6_jaccard_join(spark, sf_dir):
 
 def op7_chat_formatting(spark, sf_dir):
     chats = table(spark, sf_dir, "conversations")
-    return chat.format_chats(chats, chat.fit(chats))
+    # Roles are for learning only: the decoder recovers them from the texts.
+    return chat.format_chats(chats, chat.fit(chats), trust_roles=False)
 
 
 def op8_license_scans(spark, sf_dir):

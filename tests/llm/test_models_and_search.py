@@ -237,3 +237,17 @@ def test_probabilities_of_a_state_add_up():
     if grams.keys[0][a] != ngram_model._END:
         _, p = model.step(np.full(8, 1 + a), all_words)
         assert abs((10 ** p).sum() - 1) < 1e-9
+
+
+# --- chats whose roles the decoder does not see
+
+def test_registered_chat_query_decodes(spark):
+    from beatline.llm.common import table
+    from beatline.llm.queries import QUERIES
+    from conftest import SF_MID
+    rows = QUERIES["op7_chat_formatting"](spark, SF_MID).collect()
+    assert all(r.marked is None for r in rows)  # no text there holds a marker, and the roles are hidden
+    first = [r for r in rows if r.part == 0]
+    assert len(first) == table(spark, SF_MID, "conversations").count()
+    right = sum(r.role == r.given for r in first)
+    assert 0.95 * len(first) < right < len(first)

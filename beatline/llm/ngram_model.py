@@ -15,7 +15,7 @@ read once from left to right: the state is carried along, failure arcs are
 taken until an arc for the next word is found, and log-probabilities add up.
 
 The automaton of a corpus does not fit in a worker and need not: a slice of some
-8 MB of texts can only take the arcs of its own n-grams. So every slice sends
+6 MB of texts can only take the arcs of its own n-grams. So every slice sends
 its distinct n-grams (hashes, sorted, as differences) with their training counts
 to buckets by hash range; a bucket adds the counts of all slices up and answers
 each slice in the order in which it asked; the slice builds its part of the
@@ -47,7 +47,7 @@ FOLDS, HELD_OUT = 10, 0
 #: Weight of an unseen word in the base.
 ADDED = 0.1
 #: Texts of a slice, and texts whose n-grams a bucket counts.
-PACK_BYTES = 8 << 20
+PACK_BYTES = 6 << 20
 BUCKET_BYTES = 12 << 20
 _END = np.uint64(0x5BD1E9955BD1E995)
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
@@ -103,7 +103,7 @@ class Grams:
             ends = np.flatnonzero(place >= k)
             mine = run[ends - k] if k == 0 else run[ends - k] >> _SHORT
             keys, at = np.unique(mine, return_inverse=True)
-            of = np.full(len(hashes), -1)
+            of = np.full(len(hashes), -1, np.int32)
             of[ends] = at
             self.keys.append(keys)
             self.of.append(of)

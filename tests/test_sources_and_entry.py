@@ -77,7 +77,8 @@ def test_every_query_has_oracle_or_is_a_model():
     assert {k for k in QUERIES if k not in o} == MODEL_KEYS and set(QUERIES) <= set(q)
 
 
-MODEL_KEYS = {"fit_forest_classifier", "fit_boosted_classifier", "fit_boosted_regressor",
+MODEL_KEYS = {"boosted_classification_report", "boosted_importance", "boosted_log_loss", "boosted_loss_curve",
+              "fit_forest_classifier", "fit_boosted_classifier", "fit_boosted_regressor",
               "fit_huber_regressor", "feature_importance", "loss_curve",
               "fitted_model_comparison", "fitted_classification_report"}
 

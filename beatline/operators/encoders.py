@@ -15,6 +15,8 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beatline.operators.ranking import global_row_number
+
 # Largest table that is hinted for broadcast when its row bound is known.
 BROADCAST_MAX_ROWS = 100_000
 
@@ -43,8 +45,10 @@ def top_n_keys(df: DataFrame, col: str, n: int, count_name: str = "n",
     top = (counts_of(df, col, count_name, weight).where(F.col(col).isNotNull())
            .orderBy(F.col(count_name).desc(), F.col(col).asc()).limit(n))
     if rank_name:
-        w = Window.orderBy(F.col(count_name).desc(), F.col(col).asc())
-        top = top.withColumn(rank_name, (F.row_number().over(w) - 1).cast("int"))
+        by = [F.col(count_name).desc(), F.col(col).asc()]
+        if n <= BROADCAST_MAX_ROWS:
+            return top.withColumn(rank_name, (F.row_number().over(Window.orderBy(*by)) - 1).cast("int"))
+        top = global_row_number(top, by, rank_name, start=0).withColumn(rank_name, F.col(rank_name).cast("int"))
     return top
 
 
@@ -79,23 +83,26 @@ def bucket_rare(df: DataFrame, col: str, n: int, out: str | None = None,
 
 
 def frequency_code_table(counts: DataFrame, col: str, count_name: str = "n",
-                         code_name: str = "code", order: str = "frequencyDesc"
-                         ) -> DataFrame:
+                         code_name: str = "code", order: str = "frequencyDesc",
+                         bound: int | None = None) -> DataFrame:
     """(value, count, code) from a grouped count (M1-M4).
 
     ``frequencyDesc``: most frequent value gets 0.0, ties alphabetical (as
     ``StringIndexer``). ``alphabetAsc``: codes by value. Codes are doubles,
-    as ``StringIndexer`` emits. The window runs on the grouped rows only (one
-    row per distinct value).
+    as ``StringIndexer`` emits. ``bound``: a proven upper bound on the distinct
+    values; up to ``BROADCAST_MAX_ROWS`` of them are numbered by one window,
+    else by ranges (``global_row_number``), so no task sees all values.
     """
     if order == "frequencyDesc":
-        w = Window.orderBy(F.col(count_name).desc(), F.col(col).asc())
+        by = [F.col(count_name).desc(), F.col(col).asc()]
     elif order == "alphabetAsc":
-        w = Window.orderBy(F.col(col).asc())
+        by = [F.col(col).asc()]
     else:
         raise ValueError(f"unsupported order {order!r}")
-    return (counts.where(F.col(col).isNotNull())
-            .withColumn(code_name, (F.row_number().over(w) - 1).cast("double")))
+    present = counts.where(F.col(col).isNotNull())
+    if bound is not None and bound <= BROADCAST_MAX_ROWS:
+        return present.withColumn(code_name, (F.row_number().over(Window.orderBy(*by)) - 1).cast("double"))
+    return global_row_number(present, by, code_name, start=0).withColumn(code_name, F.col(code_name).cast("double"))
 
 
 def apply_code_table(df: DataFrame, table: DataFrame, col: str, code_name: str,

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.functions.numeric import percent_of_count
+from beatline.operators.encoders import BROADCAST_MAX_ROWS
+from beatline.operators.ranking import global_row_number
 
 
 def total_rows(df: DataFrame, name: str = "total_rows") -> DataFrame:
@@ -33,11 +35,11 @@ def type_distribution(df: DataFrame, col: str = "primary_type", n: int = 20,
                       count_name: str = "count", pct_name: str = "pct") -> DataFrame:
     """Count and percent of all rows per value, top ``n``.
 
-    The grand total is ``sum(count) over ()`` on the grouped rows (one row
-    per distinct value), taken before the limit.
+    The grand total is a scalar subquery over the same grouped counts, whose
+    shuffle Spark reuses: a partial sum a task, no window over all values.
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
-    total = F.sum(count_name).over(Window.partitionBy())
+    total = counts.select(F.sum(count_name)).scalar()
     with_pct = counts.withColumn(pct_name, percent_of_count(count_name, total, 2))
     return (with_pct.orderBy(F.col(count_name).desc(), F.col(col).asc_nulls_last())
             .limit(n))
@@ -78,10 +80,14 @@ def stage_funnel(df: DataFrame, stages: Sequence[tuple[str, object]]) -> DataFra
     ).select(F.col("step").cast("int"), "stage", F.col("rows").cast("bigint"))
 
 
-def class_list(df: DataFrame, col: str = "primary_type") -> DataFrame:
+def class_list(df: DataFrame, col: str = "primary_type", bound: int | None = None) -> DataFrame:
     """Sorted distinct classes with their 0-based position and the class
-    count (A12)."""
+    count (A12). Up to a proven ``bound`` of ``BROADCAST_MAX_ROWS`` classes they
+    are numbered by one window, else by ranges."""
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
+    if bound is None or bound > BROADCAST_MAX_ROWS:
+        ranked = global_row_number(distinct, [F.col(col)], "class_index", start=0, total="num_classes")
+        return ranked.withColumn("class_index", F.col("class_index").cast("int"))
     w = Window.orderBy(col)
     return (distinct.withColumn("class_index", (F.row_number().over(w) - 1).cast("int"))
             .withColumn("num_classes", F.count(F.lit(1)).over(Window.partitionBy())))

@@ -7,17 +7,21 @@ SQL in ``beatline.plans.oracle_queries``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.operators import encoders, evaluate, explore, filters, panel, scaling, split
+from beatline.operators import encoders, evaluate, explore, filters, panel, scaling, sketches, split
 from beatline.operators import models as M
 from beatline.operators.boosting import gain_importance
+from beatline.operators.ranking import global_row_number
 from beatline.plans import classification as C
 from beatline.plans import features as FT
 from beatline.plans.classifier import classifier_data, surrogate_counts, surrogate_predictions, train_weights
+from beatline.plans.feature_pipeline import fit_feature_pipeline
 from beatline.plans.params import (
     BOOSTED_CLASSIFIER, BOOSTED_REGRESSOR, CUT_YEAR, FOREST, N_LOCATIONS, N_TYPES,
     PREVIEW_ROWS, SAMPLE_P, SEED, SHUFFLE_CAP, TEST_FRACTION, TOP_TYPES_REPORT, YEARS, CAP_ROWS, NULL_KEY_CAP,
@@ -26,9 +30,9 @@ from beatline.plans.regression import baseline_predictions, panel_from_incidents
 from beatline.schema import (
     FEATURES_V1, FEATURES_V2, KEYS_V2, NULL_PROFILE_COLUMNS, PANEL_FEATURES,
 )
-from beatline.session import scratch_path
+from beatline.session import materialize, scratch_path
 from beatline.sources.fixture import fixture_incidents
-from beatline.sources.incidents import describe_columns, preview, read_csv, read_incidents, write_table
+from beatline.sources.incidents import describe_columns, preview, read_csv, read_incidents, register_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = "incident_key"
@@ -93,6 +97,32 @@ def q_csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema=d1.schema)
 
 
+def q_partitioned_sink(spark, sf):
+    """The extract stored by year, one year overwritten by its arrests alone, and
+    the late years read back."""
+    path = scratch_path(spark, "extract-by-year")
+    d1 = _d1(spark, sf)
+    write_table(d1, path, "parquet", ["year"])
+    stored = read_incidents(spark, path)
+    revised = materialize(stored.filter((F.col("year") == CUT_YEAR) & F.col("arrest")), "revised-year")
+    write_table(revised, path, "parquet", ["year"], only_present=True)
+    return read_incidents(spark, path).filter(F.col("year") >= CUT_YEAR - 1)
+
+
+def q_catalog_scan(spark, sf):
+    """Incidents and their frequent types as catalog tables with statistics, joined."""
+    d1, kinds = scratch_path(spark, "extract"), scratch_path(spark, "frequent-types")
+    _d1(spark, sf).write.parquet(d1)
+    encoders.top_n_keys(read_incidents(spark, d1), "primary_type", N_TYPES).write.parquet(kinds)
+    tag = uuid.uuid4().hex
+    register_table(spark, f"incidents_{tag}", d1, columns=["primary_type", "district", "year"])
+    register_table(spark, f"types_{tag}", kinds)
+    rows = read_incidents(spark, f"incidents_{tag}", "table")
+    types = read_incidents(spark, f"types_{tag}", "table").select("primary_type", F.col("n").alias("of_type"))
+    return (rows.filter(F.col("year") > CUT_YEAR).join(types, "primary_type")
+            .groupBy("primary_type", "district", "of_type").agg(F.count("*").alias("n")))
+
+
 # --- exploration -------------------------------------------------------------
 
 def q_total_rows(spark, sf):
@@ -133,7 +163,47 @@ def q_stage_funnel(spark, sf):
 
 
 def q_class_list(spark, sf):
-    return explore.class_list(_cs(spark, sf).rows, "primary_type")
+    return explore.class_list(_cs(spark, sf).rows, "primary_type", bound=N_TYPES)
+
+
+def q_ranked_values(spark, sf):
+    """Every incident key in order of its place, numbered by ranges."""
+    return global_row_number(_d1(spark, sf).select(KEY, "location_description").distinct(),
+                             [F.col("location_description").asc_nulls_first(), F.col(KEY)], "place", total="of")
+
+
+def q_location_codes(spark, sf):
+    """Codes of all places by frequency, their number not bounded in advance."""
+    return encoders.frequency_code_table(
+        encoders.counts_of(_d1(spark, sf), "location_description"), "location_description")
+
+
+def q_distinct_sketches(spark, sf):
+    """Distinct keys, wards and areas of a month, a year and the city: exact, and
+    whether the sketches - those of years and city merged from the months' - are
+    within the bound."""
+    d1 = _d1(spark, sf)
+    cols = ["incident_key", "ward", "community_area"]
+    months = materialize(sketches.distinct_sketches(d1, ["year", "month"], cols), "sketches")
+    levels = {"month": ["year", "month"], "year": ["year"], "city": []}
+    approx = None
+    for name, keys in levels.items():
+        part = sketches.sketch_estimates(sketches.merge_sketches(months, keys, cols), cols)
+        part = part.select(F.lit(name).alias("level"), *[
+            F.col(k) if k in keys else F.lit(None).cast("int").alias(k) for k in ("year", "month")],
+            *[f"approx_{c}" for c in cols])
+        approx = part if approx is None else approx.unionByName(part)
+    sets = [[F.col(k) for k in keys] for keys in levels.values()]
+    exact = d1.groupingSets(sets, "year", "month").agg(
+        F.grouping_id("year", "month").alias("g"), *[F.countDistinct(c).alias(c) for c in cols])
+    exact = exact.withColumn("level", F.element_at(F.array(F.lit("month"), F.lit("year"), F.lit(None), F.lit("city")), F.col("g").cast("int") + 1))
+    e, a = exact.alias("e"), approx.alias("a")
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"a.{k}")) for k in ("level", "year", "month")]
+    near = [(F.abs(F.col(f"approx_{c}") - F.col(f"e.{c}")) <= sketches.relative_error() * F.col(f"e.{c}") + 0.5)
+            for c in cols]
+    return e.join(a, same[0] & same[1] & same[2], "left").select(
+        "e.level", "e.year", "e.month", *[F.col(f"e.{c}").alias(f"n_{c}") for c in cols],
+        *[F.coalesce(x, F.lit(False)).alias(f"{c}_within") for x, c in zip(near, cols)])
 
 
 # --- extract, clean, row features -------------------------------------------
@@ -232,6 +302,14 @@ def q_classification_features(spark, sf):
     return _cs(spark, sf).rows
 
 
+def q_feature_pipeline(spark, sf):
+    """The features by a pipeline that was fitted, saved and loaded again."""
+    d2 = _d2(spark, sf)
+    path = scratch_path(spark, "feature-pipeline")
+    fit_feature_pipeline(d2, N_TYPES, N_LOCATIONS).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(d2.drop("description_grouped"))
+
+
 def q_classification_features_v1(spark, sf):
     return C.build_v1(_inc(spark, sf), YEARS, N_TYPES).rows
 

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beatline.functions.text import group_names
 from beatline.operators.encoders import (
     apply_code_table, collect_code_maps, frequency_code_table, map_lookup, top_n_keys,
 )
@@ -46,7 +47,7 @@ class ClassificationSet:
 
 def _type_codes(counts_source: DataFrame, n_types: int, weight: str | None) -> DataFrame:
     top = top_n_keys(counts_source, "primary_type", n_types, weight=weight)
-    return frequency_code_table(top, "primary_type", code_name="label")
+    return frequency_code_table(top, "primary_type", code_name="label", bound=n_types)
 
 
 @dataclass
@@ -67,7 +68,7 @@ def fit_codes(d2: DataFrame, n_types: int = 10, n_locations: int = 50,
     types = _type_codes(profile, n_types, "n")
     desc_codes = frequency_code_table(
         profile.groupBy("description_grouped").agg(F.sum("n").alias("n")),
-        "description_grouped", code_name="description_encoded")
+        "description_grouped", code_name="description_encoded", bound=len(group_names()))
     if not locations:
         return CodeTables(types, None, None, desc_codes)
     loc_top = top_n_keys(profile, "location_description", n_locations, weight="n")
@@ -81,7 +82,7 @@ def fit_codes(d2: DataFrame, n_types: int = 10, n_locations: int = 50,
                          "n"))
     loc_codes = frequency_code_table(
         loc_clean.groupBy("location_description_clean").agg(F.sum("n").alias("n")),
-        "location_description_clean", code_name="location_encoded")
+        "location_description_clean", code_name="location_encoded", bound=n_locations + 1)
     return CodeTables(types, loc_top, loc_codes, desc_codes)
 
 

@@ -124,6 +124,28 @@ ORACLE: dict[str, str] = {
     "describe_columns": _describe_sql(),
     "csv_roundtrip": with_ctes(["extract"], [], f"""
 SELECT * REPLACE ({AWKWARD_SQL} AS description) FROM extract"""),
+    "partitioned_sink": with_ctes(["extract"], [], f"""
+SELECT * FROM extract WHERE year >= {CUT_YEAR - 1} AND (year <> {CUT_YEAR} OR arrest)"""),
+    "catalog_scan": with_ctes(["extract"], [("kinds", f"""
+SELECT primary_type, count(*) AS of_type FROM extract GROUP BY 1
+ORDER BY of_type DESC, primary_type LIMIT {N_TYPES}""")], f"""
+SELECT primary_type, district, of_type, count(*) AS n FROM extract JOIN kinds USING (primary_type)
+WHERE year > {CUT_YEAR} GROUP BY 1, 2, 3"""),
+    "ranked_values": with_ctes(["extract"], [], """
+SELECT incident_key, location_description,
+       row_number() OVER (ORDER BY location_description NULLS FIRST, incident_key) AS place,
+       count(*) OVER () AS of
+FROM (SELECT DISTINCT incident_key, location_description FROM extract)"""),
+    "location_codes": with_ctes(["extract"], [], """
+SELECT location_description, count(*) AS n,
+       CAST(row_number() OVER (ORDER BY count(*) DESC, location_description) - 1 AS DOUBLE) AS code
+FROM extract WHERE location_description IS NOT NULL GROUP BY 1"""),
+    "distinct_sketches": with_ctes(["extract"], [], """
+SELECT CASE grouping(year, month) WHEN 0 THEN 'month' WHEN 1 THEN 'year' ELSE 'city' END AS level, year, month,
+       count(DISTINCT incident_key) AS n_incident_key, count(DISTINCT ward) AS n_ward,
+       count(DISTINCT community_area) AS n_community_area,
+       true AS incident_key_within, true AS ward_within, true AS community_area_within
+FROM extract GROUP BY GROUPING SETS ((year, month), (year), ())"""),
     "read_incidents": with_ctes(["extract"], [], "SELECT * FROM extract"),
     "cap": with_ctes(["extract"], [], f"SELECT least(count(*), {CAP_ROWS}) AS n FROM extract"),
     "null_keys": with_ctes(["extract"], [("holes", """
@@ -205,6 +227,7 @@ SELECT incident_key, location_description, location_description_clean FROM featc
     "encode_label_freq": with_ctes(["types2"], [], "SELECT * FROM types2"),
     "encode_label_alpha": with_ctes(["lab"], [], "SELECT * FROM lab"),
     "classification_features": with_ctes(["d3"], [], "SELECT * FROM d3"),
+    "feature_pipeline": with_ctes(["d3"], [], "SELECT * FROM d3"),
     "classification_features_v1": with_ctes(["d3v1"], [], "SELECT * FROM d3v1"),
     "monthly_counts": with_ctes(["feat2"], [], """
 SELECT district, year, month, season, count(*) AS crime_count FROM feat2

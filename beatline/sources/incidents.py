@@ -64,12 +64,22 @@ def read_csv(spark: SparkSession, path: str,
 
 def write_table(df: DataFrame, path: str, format: str = "csv",
                 partition_by: Sequence[str] | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", only_present: bool = False) -> None:
     """Write from the executors (S4): one file per task, header for CSV.
 
-    ``partition_by`` (e.g. ``["year"]``) lets later reads prune partitions.
+    ``partition_by`` (e.g. ``["year"]``) lets later reads prune partitions. Rows
+    are then rebalanced by these columns first: Spark joins small parts and splits
+    a hot one by measured sizes, so a partition gets few files of even size.
+    ``only_present``: overwrite only the partitions that occur in ``df`` and leave
+    the others (an empty ``df`` overwrites nothing).
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(format)
+    if only_present:
+        if not partition_by:
+            raise ValueError("only_present needs partition_by")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if format == "csv":
         writer = writer.options(**CSV_OPTIONS)
     if partition_by:
@@ -77,6 +87,23 @@ def write_table(df: DataFrame, path: str, format: str = "csv",
     writer.save(path)
 
 
+def register_table(spark: SparkSession, name: str, path: str, format: str = "parquet",
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """Register the files at ``path`` as an external table of the session's catalog
+    and collect its statistics (S1): rows, bytes and, for ``columns`` (default:
+    all), distinct values, nulls and ranges, in one Spark job.
+
+    With ``spark.sql.cbo.enabled`` the optimizer estimates filters and joins from
+    them and so chooses the join; without it the table's size is still used. Dropping
+    the table leaves the files. Identifiers are quoted, so any name works.
+    """
+    quoted = ".".join(f"`{p}`" for p in name.split("."))
+    spark.catalog.createTable(name, path=path, source=format)
+    listed = "FOR ALL COLUMNS" if columns is None else "FOR COLUMNS " + ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"ANALYZE TABLE {quoted} COMPUTE STATISTICS " + ("" if columns is not None and not columns else listed))
+    return spark.table(name)
+
+
 def describe_columns(df: DataFrame) -> DataFrame:
     """(column_name, data_type, ordinal_position) of a DataFrame.
 

@@ -9,6 +9,7 @@ import io
 import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -16,6 +17,7 @@ import pytest
 import sentencepiece
 from public_tokenizers import path
 
+import brute
 from beatline.llm import (chat, decontaminate, jaccard, licenses, packing, quality, secrets,
                           substring_dedup, token_counts, warc)
 from beatline.llm.common import pick
@@ -110,7 +112,7 @@ def test_decontamination_equals_brute_force(spark):
              (None, "same same"), (7, " ".join(words(3, 200)[20:29])), (2, "one two"), (12, "same " * 12)]
     for size in (1 << 24, 600):  # one block, and several
         got = decontaminate.decontaminate(make(spark, rows), make(spark, items, "item_id long, text string"), block_bytes=size).collect()
-        assert by_row(got) == by_row(decontaminate.brute_force(rows, items))
+        assert by_row(got) == by_row(brute.decontaminate(rows, items))
 
 
 def test_every_shared_window_is_found(spark):
@@ -120,6 +122,47 @@ def test_every_shared_window_is_found(spark):
     assert all(r.n_hit >= 10 and r.contaminated for r in got)
 
 
+def test_a_prompt_that_thousands_of_items_share(spark):
+    prompt = " ".join(words(60, 11))
+    items = [(n, f"{prompt} u{n} v{n} x y z") for n in range(8000)] + [(n, prompt) for n in (-3, 9000)]
+    rows = [(i, f"doc{i} {prompt} end{i}") for i in range(500)] + [(600, items[17][1]), (601, "clean text")]
+    index = decontaminate.Index([(i, t.encode()) for i, t in items])
+    # Lists are kept once: that of the whole prompt, and one for each item's own end.
+    assert len(index.first) - 1 == 8001 and len(index.items) == 8002 + 8000
+    started = time.monotonic()
+    texts = decontaminate.Words([t.encode() for _, t in rows], decontaminate.ALNUM, decontaminate.LOWER)
+    start, _, _ = index.hits(texts, texts.hashes())
+    assert time.monotonic() - started < 1 and len(start) == 500 * 2 + 7
+    of = {r.doc_id: r for r in decontaminate.decontaminate(make(spark, rows), make(spark, items, "item_id long, text string")).collect()}
+    some = [rows[0], rows[-2], rows[-1]]
+    assert [tuple(of[i]) for i, _ in some] == brute.decontaminate(some, items)
+    assert of[0].n_items == 8002 and of[601].n_items == 0
+
+
+def test_decontamination_spans_and_small_output_batches(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ENTRIES", 3)
+    item = words(50, 14, 30)
+    items = [(i, " ".join(item[i % 4:])) for i in range(6)] + [(9, "zz yy")]
+    rows = [(1, " ".join(item)), (2, None), (3, "a zz yy b"), (4, " ".join(["q"] + item[2:] + ["zz", "yy"])), (None, " ".join(item))]
+    for size in (1 << 24, 60):
+        got = decontaminate.decontaminate(make(spark, rows), make(spark, items, "item_id long, text string"), block_bytes=size, spans=True)
+        assert by_row([tuple(r)[:6] for r in got.collect()]) == by_row(brute.decontaminate(rows, items))
+        of = {r.doc_id: r for r in got.collect()}
+        assert of[3].places == [1, 2] and of[3].items == [9] and of[2].items == []
+        assert of[4].places == list(range(1, 15)) and of[4].items == [0, 1, 2, 3, 4, 5, 9]
+
+
+def test_decontamination_of_texts_longer_than_a_slice(spark):
+    item = words(70, 30)
+    long = words(71, 900_000, 10 ** 6)
+    assert len(" ".join(long)) > 5 << 20
+    long[850_000:850_000] = item
+    rows = [(1, " ".join(long)), (2, " ".join(item[5:20]))]
+    items = [(5, " ".join(item)), (6, "a b")]
+    got = decontaminate.decontaminate(make(spark, rows), make(spark, items, "item_id long, text string")).collect()
+    assert by_row(got) == by_row(brute.decontaminate(rows, items))
+
+
 # --- jaccard
 
 def brute_components(rows):
@@ -313,6 +356,56 @@ def test_licenses_equal_brute_force(spark):
     assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) or not r.base_labels for r in got)
 
 
+def brute_labels(rows, notices, share=0.8, reach=6):
+    """Labels and score by plain counting along the diagonals."""
+    out = []
+    for i, t in rows:
+        cut = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(x))
+        w, labels, score = cut(t), set(), 0.0
+        for label, text, exact in [(x, p, True) for p, x in licenses.PHRASES.items()] + [(x, p, False) for x, p in notices]:
+            n = cut(text)
+            held = defaultdict(set)
+            for p in range(len(w) - 1):
+                for k in range(len(n) - 1):
+                    if w[p:p + 2] == n[k:k + 2]:
+                        held[p - k].add(k)
+            for d in held:
+                got = held[d] if exact else set().union(*[held.get(e, ()) for e in range(d, d + reach + 1)])
+                part = len(got) / (len(n) - 1)
+                if part >= (1 if exact else share):
+                    labels.add(label)
+                    score = max(score, part)
+        out.append((i, ",".join(sorted(labels)), score))
+    return out
+
+
+def test_license_labels_equal_brute_force(spark):
+    rows = awkward() + [
+        (70, "licensed under cc by nc cc by nc cc by nc cc by nc"), (71, "licensed under cc by nc"), (72, "under cc by nc under cc"),
+        (73, "Apache License\n  Version 2.0, January 2004\nhttp://www.apache.org/licenses/"), (74, licenses.TEMPLATES[2][1] * 3),
+        (75, licenses.TEMPLATES[2][1].replace(" any ", " ").replace("hereby", "so hereby and x y")), (76, "of the of the software the software"),
+        (77, "GNU LESSER GENERAL PUBLIC LICENSE Version 3"), (71, None)]
+    got = licenses.find_licenses(make(spark, rows)).collect()
+    assert by_row([(r.doc_id, r.labels, r.score) for r in got]) == by_row(brute_labels(rows, licenses.TEMPLATES))
+    of = {r.doc_id: r for r in got if r.n_words}
+    assert "cc-by-nc" in of[70].labels and "apache-2.0" in of[73].labels and of[74].labels == "mit" == of[75].labels
+
+
+def test_license_texts_as_a_parameter(spark, monkeypatch):
+    text = " ".join(words(90, 700, 60))
+    notices = [("own", text), ("own", text), ("word", "single"), (None, "a b c"), ("two", "a b"), ("none", None)]
+    far = text.split()
+    rows = [(1, "x " + text + " y"), (2, " ".join(far[:300] + ["new"] * 4 + far[300:])), (3, " ".join(far[:500])), (4, "c a b"), (5, "single"),
+            (6, " ".join(far[:300] + words(91, 40) + far[300:]))]
+    frame = make(spark, notices, "label string, text string")
+    for most in (200_000, 0):  # broadcast, and left to Spark
+        monkeypatch.setattr(licenses, "MOST_PAIRS", most)
+        got = licenses.find_licenses(make(spark, rows), notices=frame).collect()
+        want = brute_labels(rows, [n for n in notices if None not in n and n[0] != "word"])
+        assert by_row([(r.doc_id, r.labels, r.score) for r in got]) == by_row(want)
+    assert {r.doc_id: r.labels for r in got} == {1: "own", 2: "own", 3: "", 4: "two", 5: "", 6: ""}
+
+
 # --- WARC
 
 PAGES = [(1, "http://a/", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "http://b/\r\nX: y", None), (4, "u", ""), (5, "u", "é漢😀\r\n\r\nx"),

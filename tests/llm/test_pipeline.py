@@ -6,7 +6,8 @@ import random
 import re
 
 import corpus_pipeline
-from beatline.llm import decontaminate, quality, secrets
+import brute
+from beatline.llm import quality, secrets
 from test_operators import brute_components, brute_spans, check_packing, make, words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -52,7 +53,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert 0 < len(left) < len(rows)
     least = brute_components([r[:2] for r in left])
     left = [r for r, (i, _, c) in zip(left, least) if i == c]
-    hit = decontaminate.brute_force([r[:2] for r in left], items)
+    hit = brute.decontaminate([r[:2] for r in left], items)
     left = [r for r, h in zip(left, hit) if not h[5]]
     left = [(r[0], redact(r[1]), r[2], r[3], len(redact(r[1])) if brute_spans(r[1]) else r[4]) for r in left]
 

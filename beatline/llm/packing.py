@@ -24,6 +24,8 @@ from beatline.llm.common import pick
 
 CAPACITY = 2048
 GROUP_ROWS = 2048
+#: Copies of a repeated row are numbered in arrays of at most so many.
+COPIES_AT_ONCE = 1 << 12
 SCHEMA = "doc_id string, piece long, start long, n_tokens long, bin_id string, position long"
 
 
@@ -117,9 +119,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS
         "doc_id", "source", F.when(F.col("words").isNull(), 0).otherwise(F.size("words")).cast("long").alias("size"),
         F.xxhash64(F.array_join("words", " ")).cast("string").alias("digest"))
     n = max(1, -(-docs.count() // group_rows))
-    # Repeated rows are counted first and dealt out one by one.
-    rows = rows.groupBy("doc_id", "source", "size", "digest").agg(F.count("*").alias("copies")).select(
-        "doc_id", "source", "size", "digest", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    # Repeated rows are counted first and dealt out one by one, so many at a time.
+    rows = rows.groupBy("doc_id", "source", "size", "digest").agg(F.count("*").alias("copies"))
+    rows = rows.withColumn("block", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES_AT_ONCE})"))).withColumn(
+        "copy", F.explode(F.expr(f"sequence(block * {COPIES_AT_ONCE} + 1, least(copies, (block + 1) * {COPIES_AT_ONCE}))"))) \
+        .drop("block", "copies")
     rows = rows.withColumns({
         "cluster": F.when(F.col("size") > 0, F.col("digest")),
         "group": F.pmod(F.xxhash64("doc_id", "source", "digest", "copy"), F.lit(n))})

@@ -448,6 +448,51 @@ def test_small_payloads_stay_responses(spark):
     assert {r.page_id: r.record_type for r in got} == {1: "response", 2: "response", 3: "revisit", 4: "response"}
 
 
+def test_record_ids_are_unique_and_revisits_name_responses(spark, tmp_path):
+    warc.write_archives(make(spark, PAGES, "page_id long, url string, html string").repartition(3), str(tmp_path / "w"))
+    ids = []
+    for name in os.listdir(tmp_path / "w"):
+        if name.startswith("part-"):
+            ids += [r.headers["warc-record-id"] for r in warc.read_records(io.BytesIO((tmp_path / "w" / name).read_bytes()))]
+    assert len(ids) >= len(PAGES) and len(set(ids)) == len(ids)
+    rows = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    of = {r.record_id: r for r in rows}
+    revisits = [r for r in rows if r.record_type == "revisit"]
+    # Page 7 occurs twice with one payload: its revisits name no single record.
+    assert {r.refers_to for r in revisits if r.refers_to_record is None} == {7}
+    named = [r for r in revisits if r.refers_to_record]
+    assert named and all(of[r.refers_to_record].page_id == r.refers_to and of[r.refers_to_record].record_type == "response"
+                         and of[r.refers_to_record].payload_digest == r.payload_digest for r in named)
+
+
+def plain_record(kind, block, **headers):
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:{kind}:{len(block)}>"), ("WARC-Date", warc.DATE),
+            *[(k.replace("_", "-"), v) for k, v in headers.items()], ("Content-Length", str(len(block)))]
+    return gzip.compress(("WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n"
+    sha1 = hashlib.sha1(b"xyz")
+    data = plain_record("warcinfo", b"software: x\r\n") + plain_record("response", http + b"xyz") \
+        + plain_record("response", http + b"xyz", WARC_Payload_Digest="sha1:" + sha1.hexdigest(), WARC_Target_URI="http://a/") \
+        + plain_record("response", b"whole block", Content_Type="text/dns", WARC_Block_Digest="sha256:zz") \
+        + plain_record("revisit", http, WARC_Refers_To="<urn:response:33>", WARC_Payload_Digest="sha1:" + warc.digest(b"xyz")) \
+        + plain_record("revisit", b"") + plain_record("request", b"GET / HTTP/1.1\r\n\r\n")
+    (tmp_path / "other.warc.gz").write_bytes(data)
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    base32 = base64.b32encode(sha1.digest()).decode()
+    assert by_row([tuple(r)[:5] for r in got]) == by_row([
+        (None, 3, base32, "response", None), (None, 3, base32, "response", None), (None, 11, warc.digest(b"whole block"), "response", None),
+        (None, None, base32, "revisit", None), (None, None, None, "revisit", None)])
+    assert {r.target_uri for r in got} == {None, "http://a/"} and "<urn:response:33>" in {r.refers_to_record for r in got}
+    for bad in ("sha1:" + warc.digest(b"other"), "sha1:" + "0" * 40):
+        with pytest.raises(ValueError):
+            [warc.page_row(r) for r in warc.read_records(io.BytesIO(plain_record("response", http, WARC_Payload_Digest=bad)))]
+        with pytest.raises(ValueError):
+            list(warc.read_records(io.BytesIO(plain_record("response", http, WARC_Block_Digest=bad))))
+
+
 # --- token counts
 
 def test_token_counts_equal_the_library(spark):
@@ -493,6 +538,15 @@ def test_packing_is_whole_and_without_conflicts(spark):
     assert len(out) == 4 and len({x.bin_id for x in out if x.doc_id == 1}) == 2
 
 
+def test_packing_numbers_copies_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "COPIES_AT_ONCE", 7)
+    rows = [(1, "a b", "s")] * 30 + [(2, "c", "t")] * 7 + [(3, "d", "t")] * 8 + [(4, None, None)]
+    out = packing.pack(make(spark, rows, "doc_id long, text string, source string"), 100).collect()
+    assert Counter(r.doc_id for r in out) == {1: 30, 2: 7, 3: 8, 4: 1}
+    bins = Counter((r.bin_id, r.doc_id) for r in out if r.bin_id)
+    assert max(bins.values()) == 1  # no copy beside another
+
+
 def test_packing_takes_the_tightest_compatible_bin():
     bins = packing.Bins(10)
     assert [bins.place(6, 1, 0), bins.place(7, 2, 0), bins.place(8, 4, 0)] == [0, 1, 2]

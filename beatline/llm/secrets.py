@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatline.llm.common import pick
+from beatline.session import materialize
 
 
 class Rule(NamedTuple):
@@ -159,6 +160,36 @@ def candidates(texts: DataFrame, rules: list[Rule]) -> DataFrame:
         .groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
+#: Bits to a candidate in the bitmap of their keys, and its greatest size: so many
+#: buckets of 4 KB (64 MB).
+BITS_A_KEY = 16
+MOST_BUCKETS = 1 << 14
+_BUCKET_BITS = 1 << 15  # of Spark's bitmap functions
+
+
+def with_rules(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the column ``rules`` of ``found`` by ``key``, null for others.
+
+    Rows stay where they are unless a bitmap of the found keys, broadcast with a
+    bounded size, holds their key; only those, the candidates and some by chance, are
+    shuffled to meet ``found``. Beyond the bitmap's greatest size more rows move by
+    chance, none is lost.
+    """
+    found = materialize(found, "secret-candidates")
+    buckets = min(MOST_BUCKETS, found.count() * BITS_A_KEY // _BUCKET_BITS + 1)
+    place = F.pmod("key", F.lit(buckets * _BUCKET_BITS)) + 1  # Spark counts bits from 1
+    bits = found.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.call_function("div", at, F.lit(8)).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+    tested = rows.join(F.broadcast(bits), F.bitmap_bucket_number(place) == F.col("bucket"), "left") \
+        .withColumn("held", held).drop("bucket", "bits")
+    meet = tested.filter("held").join(found.hint("shuffle_hash"), "key", "left")
+    return meet.drop("held").unionByName(
+        tested.filter("not held").drop("held").withColumn("rules", F.lit(None).cast("array<int>")))
+
+
 def named(no: int, kind: str):
     return lambda s: F.struct(s["start"].alias("start"), F.lit(no).alias("rule"), s["end"].alias("end"), F.lit(kind).alias("kind"))
 
@@ -180,7 +211,7 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_
     rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"), **own).withColumn("key", F.xxhash64("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     found = candidates(rows.select("key", text.alias("text")), rules)
-    joined = rows.join(found.hint("shuffle_hash"), "key", "left")
+    joined = with_rules(rows, found)
     parts = []
     for no, rule in enumerate(rules):
         spans = F.transform(spans_of(text, rule), named(no, rule.kind))

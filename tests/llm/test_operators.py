@@ -16,6 +16,7 @@ import numpy as np
 import pytest
 import sentencepiece
 from public_tokenizers import path
+from pyspark.sql import functions as F
 
 import brute
 from beatline.llm import (chat, decontaminate, jaccard, licenses, packing, quality, secrets,
@@ -332,6 +333,24 @@ def test_trigram_queries_hold_for_every_match(rule):
             assert all(any(alt <= grams for alt in clause) for clause in query)
 
 
+@pytest.mark.parametrize("bits", [16, 1])
+def test_only_candidates_move_to_their_rules(spark, monkeypatch, bits):
+    monkeypatch.setattr(secrets, "BITS_A_KEY", bits)
+    rows = spark.range(200_000).select(F.xxhash64("id").alias("key"), "id")
+    found = rows.filter("id % 40 = 0").select("key", F.array(F.lit(1)).alias("rules"))
+    out = secrets.with_rules(rows, found)
+    assert out.count() == 200_000 and out.filter("(id % 40 = 0) <> (rules is not null)").count() == 0
+    some = secrets.with_rules(rows.filter("id < 100"), found.filter("key is null"))
+    assert some.count() == 100 and some.filter("rules is not null").count() == 0
+
+
+def test_secrets_with_nothing_and_with_all_rows_found(spark):
+    for text in ("plain words", "password = hunter2hunter2"):
+        rows = [(i % 5 if i % 7 else None, text) for i in range(60)] + [(1, None)]
+        got = secrets.report(make(spark, rows)).collect()
+        assert len(got) == 61 and sum(r.n_assign for r in got) == 60 * ("=" in text)
+
+
 # --- licenses
 
 def test_licenses_equal_brute_force(spark):

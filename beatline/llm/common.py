@@ -160,23 +160,30 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(out[:n], out[w - span:w - span + n])
 
 
-#: Bits of an id bitmap (1 MB).
+#: Bits of an id bitmap (1 MB), at least, and (32 MB) at most.
 BITMAP_BITS = 1 << 23
+MOST_BITMAP_BITS = 1 << 28
 
 
-def id_bit(column: str) -> Column:
+def bitmap_bits(n: int) -> int:
+    """Bits for a bitmap of ``n`` ids: at least eight for each, a power of two,
+    within the limits. Beyond them more ids pass by chance; none is lost."""
+    return min(max(1 << (8 * n).bit_length(), BITMAP_BITS), MOST_BITMAP_BITS)
+
+
+def id_bit(column: str, bits: int = BITMAP_BITS) -> Column:
     """The place of an id in an id bitmap."""
-    return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+    return F.pmod(F.xxhash64(column), F.lit(bits))
 
 
-def id_bitmap(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size of the ids in column ``id``, built by Spark: it
+def id_bitmap(ids: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """A bitmap of ``bits`` bits of the ids in column ``id``, built by Spark: it
     holds every id, and others by chance."""
-    at = id_bit("id") + 1  # Spark counts bits from 1
+    at = id_bit("id", bits) + 1  # Spark counts bits from 1
     rows = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")) \
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in rows:  # at most 256 of 4 KB
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:  # at most bits / 32,768 of 4 KB
         out[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(r.bits, np.uint8)
     return out
 

@@ -19,27 +19,33 @@ two rounds. First a star: each document is tried against one head, the least
 document of its keys, which is linear in the documents, and a group of copies
 mostly becomes one component. Among crowded keys that still hold several, other
 heads are tried while that pays. Then, among keys whose documents still lie in
-several components, all pairs across components are tried. Two bounds that hold
-for certain rule most out before sets are compared: the parity of hash cells,
-within the join, and a histogram of hash cells. Equal sets are one class throughout, so copies are never paired. Shingles
+several components, pairs across components are tried whose sizes are of the
+same or neighbouring bands. Two bounds that hold for certain rule most out before
+sets are compared: the parity of hash cells, within the join, and a histogram of
+hash cells. Equal sets are one class throughout, so copies are never paired. Shingles
 are compared by 64-bit hashes.
+
+The texts are read four times, whatever the number of rounds: for the survey,
+twice for the index, and once to write the sets of the documents that share a
+key, which every verification reads. Labels are carried from round to round, so
+that a round follows its own links only. A key of many documents is dealt to
+several tasks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import (LOWER, NOT_BLANK, Words, documents, grams, id_bit, id_bitmap,
-                                 in_bitmap, mix, ragged, slices, utf8)
+from beatline.llm.common import (LOWER, NOT_BLANK, Words, bitmap_bits, documents, grams, id_bit,
+                                 id_bitmap, in_bitmap, mix, ragged, slices, utf8)
 from beatline.session import materialize
 
 SHINGLE = 5
-#: A token is frequent if blocks see it in so many documents and in this share.
-FREQUENT_LEAST = 8
-FREQUENT_SHARE = 1 / 20_000
+#: A token is frequent if blocks see it in so many documents.
+FREQUENT_LEAST = 12
 #: At most so many tokens, the most frequent ones, are treated as frequent.
 MOST_FREQUENT = 1 << 20
 #: Tokens counted together when frequent ones are looked for.
@@ -49,6 +55,14 @@ CROWD = 24
 #: At most so many more rounds, and only while this share of tried pairs links.
 ROUNDS = 8
 WORTH = 0.02
+#: A key's documents are dealt to tasks by this number, to at most so many.
+SPLIT = 256
+MOST_SPLITS = 4096
+#: Documents of a key that one task compares with the others across components.
+ACROSS = 4096
+#: Sizes are banded by this ratio: linked sets, whose sizes differ by 5/4 at
+#: most, lie in the same or neighbouring bands.
+BAND = 1.3
 _CELLS = 256
 _PARITY = 256
 _LANES = ("b0", "b1", "b2", "b3")
@@ -151,12 +165,11 @@ def survey(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def frequent_tokens(seen: DataFrame, n_docs: int, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+def frequent_tokens(seen: DataFrame, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The frequent tokens of a survey, sorted, and the rank of each by count.
     The choice only affects speed, never which links are found."""
-    least = max(FREQUENT_LEAST, FREQUENT_SHARE * n_docs)
     rows = seen.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")) \
-        .filter(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(most).toArrow()
+        .filter(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "token").limit(most).toArrow()
     tokens, n = (rows.column(c).to_numpy() for c in ("token", "n"))  # at most ``most``
     tokens = tokens.astype(np.int64).view(np.uint64)
     rank = np.empty(len(n), np.int64)
@@ -224,21 +237,41 @@ def index_entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> D
     return docs.mapInArrow(run, "key long, node long, size int")
 
 
-def set_parts(docs: DataFrame, ids: DataFrame, pack) -> DataFrame:
-    """(id, part): what ``pack`` makes of the tokens of the documents in ``ids``
-    (and, at worst, some more), picked by a bitmap of fixed size."""
-    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+def written_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, histogram, part): the sets of the documents in ``ids`` (and, by
+    chance, of some more), of equal sets in a slice that of least id. One pass
+    over the texts; verifications read what it wrote."""
+    n_bits = bitmap_bits(ids.count())
+    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, n_bits))
 
     def run(batches):
         for batch in slices(batches):
-            keep = in_bitmap(bits.value, batch.column("at").to_numpy())
-            batch = batch.filter(pa.array(keep & batch.column("doc_id").is_valid().to_numpy(False)))
+            held, valid = _ids(batch)
+            batch = batch.filter(pa.array(in_bitmap(bits.value, batch.column("at").to_numpy()) & valid))
             if batch.num_rows:
+                held, valid = _ids(batch)
                 sets = Sets(utf8(batch.column("text")))
-                packed = [pack(sets.tokens[a:b]) for a, b in zip(sets.first[:-1], sets.first[1:])]
-                yield _batch(id=batch.column("doc_id"), part=pa.array(packed, pa.binary()))
+                rows = sets.representatives(held, valid)
+                tokens = [sets.tokens[sets.first[i]:sets.first[i + 1]] for i in rows]
+                yield _batch(id=held[rows], histogram=pa.array(map(histogram, tokens), pa.binary()),
+                             part=pa.array([t.tobytes() for t in tokens], pa.binary()))
+
+    rows = docs.withColumn("at", id_bit("doc_id", n_bits))
+    return materialize(rows.mapInArrow(run, "id long, histogram binary, part binary"), "sets", compression="zstd")
+
+
+def _among(parts: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
+    """The rows of ``parts`` whose id is in ``ids``, and others by chance."""
+    n_bits = bitmap_bits(n_ids)
+    bits = parts.sparkSession.sparkContext.broadcast(id_bitmap(ids, n_bits))
+
+    def run(batches):
+        for batch in batches:
+            keep = batch.filter(pa.array(in_bitmap(bits.value, batch.column("at").to_numpy())))
+            if keep.num_rows:
+                yield keep.select(["id", "part"])
 
-    return docs.withColumn("at", id_bit("doc_id")).mapInArrow(run, "id long, part binary")
+    return parts.withColumn("at", id_bit("id", n_bits)).mapInArrow(run, "id long, part binary")
 
 
 def histogram(tokens: np.ndarray) -> bytes:
@@ -269,7 +302,9 @@ def links(x: bytes, y: bytes) -> bool:
 
 def holding(pairs: DataFrame, parts: DataFrame, test) -> DataFrame:
     """The pairs (a, b) whose ``parts`` (id, part) pass ``test``."""
-    left, right = (parts.select(F.col("id").alias(c), F.col("part").alias(p)) for c, p in (("a", "x"), ("b", "y")))
+    n = pairs.count()
+    left, right = (_among(parts, pairs.select(F.col(c).alias("id")), n).select(F.col("id").alias(c), F.col("part").alias(p))
+                   for c, p in (("a", "x"), ("b", "y")))
 
     def run(batches):
         for batch in batches:
@@ -279,13 +314,13 @@ def holding(pairs: DataFrame, parts: DataFrame, test) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link. Histograms, far smaller than the sets,
-    first rule out pairs that cannot."""
-    for name, pack, test in (("histograms", histogram, may_link), ("sets", np.ndarray.tobytes, links)):
-        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-        parts = materialize(set_parts(docs, ids, pack), name, compression="zstd")
-        pairs = materialize(holding(pairs, parts, test), name)
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose written ``sets`` link. Histograms, far smaller
+    than the sets, first rule out pairs that cannot."""
+    for column, test in (("histogram", may_link), ("part", links)):
+        if pairs.isEmpty():
+            break
+        pairs = materialize(holding(pairs, sets.select("id", F.col(column).alias("part")), test), "pairs")
     return pairs
 
 
@@ -329,60 +364,86 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of = some.select(F.col("doc_id").alias("node"), "rep")
     shapes = some.filter("doc_id = rep").select("rep", F.col("n_shingles").alias("size"), *_LANES)
 
-    entries = index_entries(docs, frequent_tokens(seen, sets.count()))
-    shared = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")) \
-        .filter("head < last").drop("last")
+    entries = index_entries(docs, frequent_tokens(seen))
+    shared = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count("*").alias("n")) \
+        .filter("head < last").withColumn("splits", _splits("n", SPLIT)).drop("last", "n")
     members = materialize(entries.join(shared.hint("shuffle_hash"), "key"), "members", compression="zstd")
+    named = materialize(members.select("key", "splits", "node").join(of, "node").select("key", "splits", "rep").distinct(),
+                        "named", compression="zstd")
+    written = written_sets(docs, named.select(F.col("rep").alias("id")).distinct())
 
     # The star: each document against the least head of its keys.
     stars = members.filter("node <> head").groupBy("node").agg(F.min("head").alias("head"))
     stars = materialize(_classes(stars.select(F.col("node").alias("a"), F.col("head").alias("b")), of), "stars")
     least = of.groupBy("node").agg(F.min("rep").alias("b"))  # a document of several sets joins their classes
-    found = verify(stars, docs).unionByName(
-        of.join(least, "node").filter("rep <> b").select(F.col("rep").alias("a"), "b"))
+    labels = _advance(of.select("rep", F.col("rep").alias("label")).distinct(), verify(stars, written).unionByName(
+        of.join(least, "node").filter("rep <> b").select(F.col("rep").alias("a"), "b")))
 
     # More stars among the documents of crowded keys, with other heads.
     tried = stars
-    named = materialize(members.select("key", "node").join(of, "node").select("key", "rep").distinct(), "named", compression="zstd")
     for i in range(ROUNDS):
-        crowded = _mixed(_labelled(named, found), CROWD)
-        heads = crowded.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("by"), "rep", "label")).alias("head"))
-        pairs = crowded.join(heads, "key").filter("label <> head.label").groupBy("rep").agg(
+        crowded = _mixed(named, labels, CROWD)
+        heads = crowded.groupBy("key", "splits").agg(F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("by"), "rep", "label")).alias("head"))
+        pairs = crowded.join(_dealt(heads), ["key", "salt"]).filter("label <> head.label").groupBy("rep").agg(
             F.min(F.struct(F.xxhash64("head.rep", "rep").alias("by"), F.col("head.rep").alias("rep"))).alias("head"))
         pairs = pairs.select(F.least("rep", "head.rep").alias("a"), F.greatest("rep", "head.rep").alias("b")).distinct()
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "stars")
-        new = verify(pairs, docs)
-        tried, found = tried.unionByName(pairs), found.unionByName(new)
+        new = verify(pairs, written)
+        tried, labels = tried.unionByName(pairs), _advance(labels, new)
         if new.count() <= WORTH * pairs.count():
             break
 
-    # All pairs across components among the documents of a key.
-    shaped = _mixed(_labelled(named, found)).join(shapes, "rep")
+    # Pairs across components among the documents of a key: a set meets those of
+    # its own and the next larger band.
+    shaped = _mixed(named, labels).join(shapes, "rep").withColumn("splits", _splits("n", ACROSS)) \
+        .withColumn("band", F.floor(F.log(BAND, "size")))
+    small = shaped.withColumn("salt", _salt("rep"))
+    large = _dealt(shaped.drop("salt")).withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"))))
     differ = " + ".join(f"bit_count(p.{c} ^ q.{c})" for c in _LANES)
-    across = shaped.alias("p").join(shaped.alias("q"), F.expr(
-        "p.key = q.key and p.label <> q.label and p.rep < q.rep and 5 * least(p.size, q.size) >= 4 * greatest(p.size, q.size) "
+    across = small.alias("p").join(large.alias("q"), F.expr(
+        "p.key = q.key and p.salt = q.salt and p.band = q.band and p.label <> q.label "
+        "and (p.size < q.size or p.size = q.size and p.rep < q.rep) and 5 * p.size >= 4 * q.size "
         f"and 9 * ({differ}) <= p.size + q.size")) \
-        .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    found = found.unionByName(verify(materialize(across, "across"), docs))
+        .select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")).distinct() \
+        .join(tried, ["a", "b"], "left_anti")
+    labels = _advance(labels, verify(materialize(across, "across"), written))
 
-    labels = components(found).withColumnRenamed("node", "rep")
-    reach = of.join(labels, "rep", "left").groupBy("node").agg(F.min(F.coalesce("label", "rep")).alias("component"))
+    reach = of.join(labels, "rep").groupBy("node").agg(F.min("label").alias("component"))
     return sets.join(reach.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _labelled(named: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, rep, label): the members with their components so far."""
-    labels = materialize(components(found).withColumnRenamed("node", "rep"), "labels")
-    return named.join(labels, "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
+def _splits(n: str, size: int) -> Column:
+    """To how many tasks a key of ``n`` documents is dealt."""
+    return F.least(F.ceil(F.col(n) / size), F.lit(MOST_SPLITS)).cast("int")
+
+
+def _salt(rep: str) -> Column:
+    return F.pmod(F.xxhash64(rep), F.col("splits")).cast("int")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Each row once for each ``salt`` of its key."""
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).drop("splits")
+
+
+def _advance(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """The labels (rep, label) after the links ``new`` (a, b): links between
+    labels, whose components rename them."""
+    x, y = (labels.select(F.col("rep").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab")
+    edges = new.join(x, "a").join(y, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    moved = components(edges).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return materialize(labels.join(moved, "label", "left").select("rep", F.coalesce("to", "label").alias("label")), "labels")
 
 
-def _mixed(named: DataFrame, least: int = 2) -> DataFrame:
-    """The members of the keys that hold several components and at least
-    ``least`` documents."""
-    keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")) \
-        .filter(f"low < high and n >= {least}").select("key")
-    return materialize(named.join(keys.hint("shuffle_hash"), "key"), "mixed", compression="zstd")
+def _mixed(named: DataFrame, labels: DataFrame, least: int = 2) -> DataFrame:
+    """(key, salt, splits, rep, label, n): the members of the keys that hold
+    several components and at least ``least`` documents (``n``)."""
+    rows = named.join(labels, "rep")
+    keys = rows.groupBy("key", "splits").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")) \
+        .filter(f"low < high and n >= {least}").select("key", "splits", "n")
+    return materialize(rows.withColumn("salt", _salt("rep")).join(_dealt(keys).hint("shuffle_hash"), ["key", "salt"]),
+                       "mixed", compression="zstd")
 
 
 def _classes(pairs: DataFrame, of: DataFrame) -> DataFrame:

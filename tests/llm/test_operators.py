@@ -19,7 +19,7 @@ from public_tokenizers import path
 from pyspark.sql import functions as F
 
 import brute
-from beatline.llm import (chat, decontaminate, jaccard, licenses, packing, quality, secrets,
+from beatline.llm import (chat, common, decontaminate, jaccard, licenses, packing, quality, secrets,
                           substring_dedup, token_counts, warc)
 from beatline.llm.common import pick
 
@@ -199,6 +199,46 @@ def test_components_equal_brute_force(spark, monkeypatch, frequent):
     assert by_row(got) == by_row(brute_components(rows))
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_components_of_a_crowded_key(spark, monkeypatch, rounds):
+    """A passage that all documents share, of which some link and most do not,
+    with the key dealt to many tasks and sizes in many bands."""
+    for name, value in (("SPLIT", 3), ("ACROSS", 2), ("MOST_SPLITS", 7), ("CROWD", 4), ("ROUNDS", rounds)):
+        monkeypatch.setattr(jaccard, name, value)
+    r = random.Random(12)
+    passage = [f"p{i}" for i in range(12)]
+    rows = []
+    for family in range(14):
+        own = [f"f{family}w{i}" for i in range(r.choice([2, 6, 20, 60, 150]))]
+        for _ in range(r.choice([1, 1, 4])):
+            w = passage + own
+            for _ in range(r.randrange(0, 1 + len(w) // 30)):
+                w[r.randrange(len(w))] = f"x{r.randrange(999)}"
+            rows.append((len(rows) + 1, " ".join(w[: r.randrange(len(w) * 7 // 10, len(w) + 1)])))
+    rows += [(None, rows[0][1]), (3, rows[9][1]), (50, rows[1][1]), (50, rows[1][1]), (51, ""), (52, None)]
+    got = jaccard.jaccard_components(make(spark, rows).repartition(5)).collect()
+    want = brute_components(rows)
+    assert len({c for _, _, c in want}) > 5
+    assert by_row(got) == by_row(want)
+
+
+def test_texts_are_read_four_times(spark, monkeypatch):
+    """However many rounds of verification there are."""
+    passes = []
+    for name in ("survey", "index_entries", "written_sets"):
+        made = getattr(jaccard, name)
+        monkeypatch.setattr(jaccard, name, lambda docs, *a, name=name, made=made: passes.append(name) or made(docs, *a))
+    monkeypatch.setattr(jaccard, "ROUNDS", 4)
+    jaccard.jaccard_components(make(spark, awkward())).collect()
+    assert passes == ["survey", "index_entries", "written_sets"]  # the index is read twice
+
+
+def test_bitmaps_grow_with_the_ids():
+    assert common.bitmap_bits(0) == common.bitmap_bits(1_000_000) == 1 << 23
+    assert 8 * 5_000_000 <= common.bitmap_bits(5_000_000) <= 16 * 5_000_000
+    assert common.bitmap_bits(1 << 40) == common.MOST_BITMAP_BITS
+
+
 def test_index_keys_lose_no_link():
     """Every linked pair shares a key, whatever tokens are taken as frequent."""
     r = random.Random(8)

@@ -25,11 +25,12 @@ sets are compared: the parity of hash cells, within the join, and a histogram of
 hash cells. Equal sets are one class throughout, so copies are never paired. Shingles
 are compared by 64-bit hashes.
 
-The texts are read four times, whatever the number of rounds: for the survey,
-twice for the index, and once to write the sets of the documents that share a
-key, which every verification reads. Labels are carried from round to round, so
-that a round follows its own links only. A key of many documents is dealt to
-several tasks.
+The texts are read for the survey, twice for the index, and once for the
+histograms of the documents that share a key, which are written once; a
+verification reads them again where pairs pass those, and makes the sets of
+these pairs only. (Written sets would take 1.5 times the input.) Labels are
+carried from round to round, so that a round follows its own links only. A key
+of many documents is dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from beatline.llm.common import (LOWER, NOT_BLANK, Words, bitmap_bits, documents, grams, id_bit,
                                  id_bitmap, in_bitmap, mix, ragged, slices, utf8)
-from beatline.session import materialize
+from beatline.session import materialize, release_path
 
 SHINGLE = 5
 #: A token is frequent if blocks see it in so many documents.
@@ -237,11 +238,11 @@ def index_entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> D
     return docs.mapInArrow(run, "key long, node long, size int")
 
 
-def written_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, histogram, part): the sets of the documents in ``ids`` (and, by
-    chance, of some more), of equal sets in a slice that of least id. One pass
-    over the texts; verifications read what it wrote."""
-    n_bits = bitmap_bits(ids.count())
+def set_parts(docs: DataFrame, ids: DataFrame, n_ids: int, pack, name: str) -> DataFrame:
+    """(id, part), written: what ``pack`` makes of the sets of the documents in
+    ``ids`` (and, by chance, of some more), of equal sets in a slice that of
+    least id."""
+    n_bits = bitmap_bits(n_ids)
     bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, n_bits))
 
     def run(batches):
@@ -252,26 +253,11 @@ def written_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 held, valid = _ids(batch)
                 sets = Sets(utf8(batch.column("text")))
                 rows = sets.representatives(held, valid)
-                tokens = [sets.tokens[sets.first[i]:sets.first[i + 1]] for i in rows]
-                yield _batch(id=held[rows], histogram=pa.array(map(histogram, tokens), pa.binary()),
-                             part=pa.array([t.tobytes() for t in tokens], pa.binary()))
+                packed = [pack(sets.tokens[sets.first[i]:sets.first[i + 1]]) for i in rows]
+                yield _batch(id=held[rows], part=pa.array(packed, pa.binary()))
 
     rows = docs.withColumn("at", id_bit("doc_id", n_bits))
-    return materialize(rows.mapInArrow(run, "id long, histogram binary, part binary"), "sets", compression="zstd")
-
-
-def _among(parts: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
-    """The rows of ``parts`` whose id is in ``ids``, and others by chance."""
-    n_bits = bitmap_bits(n_ids)
-    bits = parts.sparkSession.sparkContext.broadcast(id_bitmap(ids, n_bits))
-
-    def run(batches):
-        for batch in batches:
-            keep = batch.filter(pa.array(in_bitmap(bits.value, batch.column("at").to_numpy())))
-            if keep.num_rows:
-                yield keep.select(["id", "part"])
-
-    return parts.withColumn("at", id_bit("id", n_bits)).mapInArrow(run, "id long, part binary")
+    return materialize(rows.mapInArrow(run, "id long, part binary"), name, compression="zstd")
 
 
 def histogram(tokens: np.ndarray) -> bytes:
@@ -302,9 +288,7 @@ def links(x: bytes, y: bytes) -> bool:
 
 def holding(pairs: DataFrame, parts: DataFrame, test) -> DataFrame:
     """The pairs (a, b) whose ``parts`` (id, part) pass ``test``."""
-    n = pairs.count()
-    left, right = (_among(parts, pairs.select(F.col(c).alias("id")), n).select(F.col("id").alias(c), F.col("part").alias(p))
-                   for c, p in (("a", "x"), ("b", "y")))
+    left, right = (parts.select(F.col("id").alias(c), F.col("part").alias(p)) for c, p in (("a", "x"), ("b", "y")))
 
     def run(batches):
         for batch in batches:
@@ -314,16 +298,29 @@ def holding(pairs: DataFrame, parts: DataFrame, test) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose written ``sets`` link. Histograms, far smaller
+def verify(pairs: DataFrame, docs: DataFrame, histograms: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link. The written ``histograms``, far smaller
     than the sets, first rule out pairs that cannot."""
-    for column, test in (("histogram", may_link), ("part", links)):
+    for test in (may_link, links):
         if pairs.isEmpty():
             break
-        pairs = materialize(holding(pairs, sets.select("id", F.col(column).alias("part")), test), "pairs")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        if test is may_link:
+            parts = materialize(histograms.join(ids, "id", "left_semi"), "candidates", compression="zstd")
+        else:
+            parts = set_parts(docs, ids, 2 * pairs.count(), np.ndarray.tobytes, "sets")
+        pairs = materialize(holding(pairs, parts, test), "pairs")
+        _release(parts)
     return pairs
 
 
+def _release(written: DataFrame) -> None:
+    """Delete a written stage whose last reader has been written itself."""
+    files = written.inputFiles()
+    if files:
+        release_path(written.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each component of the edges (a, b), by
     alternating large and small stars until nothing changes."""
@@ -370,13 +367,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = materialize(entries.join(shared.hint("shuffle_hash"), "key"), "members", compression="zstd")
     named = materialize(members.select("key", "splits", "node").join(of, "node").select("key", "splits", "rep").distinct(),
                         "named", compression="zstd")
-    written = written_sets(docs, named.select(F.col("rep").alias("id")).distinct())
+    ids = named.select(F.col("rep").alias("id")).distinct()
+    histograms = set_parts(docs, ids, ids.count(), histogram, "histograms")
 
     # The star: each document against the least head of its keys.
     stars = members.filter("node <> head").groupBy("node").agg(F.min("head").alias("head"))
     stars = materialize(_classes(stars.select(F.col("node").alias("a"), F.col("head").alias("b")), of), "stars")
     least = of.groupBy("node").agg(F.min("rep").alias("b"))  # a document of several sets joins their classes
-    labels = _advance(of.select("rep", F.col("rep").alias("label")).distinct(), verify(stars, written).unionByName(
+    labels = _advance(of.select("rep", F.col("rep").alias("label")).distinct(), verify(stars, docs, histograms).unionByName(
         of.join(least, "node").filter("rep <> b").select(F.col("rep").alias("a"), "b")))
 
     # More stars among the documents of crowded keys, with other heads.
@@ -388,7 +386,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             F.min(F.struct(F.xxhash64("head.rep", "rep").alias("by"), F.col("head.rep").alias("rep"))).alias("head"))
         pairs = pairs.select(F.least("rep", "head.rep").alias("a"), F.greatest("rep", "head.rep").alias("b")).distinct()
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "stars")
-        new = verify(pairs, written)
+        new = verify(pairs, docs, histograms)
         tried, labels = tried.unionByName(pairs), _advance(labels, new)
         if new.count() <= WORTH * pairs.count():
             break
@@ -406,7 +404,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         f"and 9 * ({differ}) <= p.size + q.size")) \
         .select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")).distinct() \
         .join(tried, ["a", "b"], "left_anti")
-    labels = _advance(labels, verify(materialize(across, "across"), written))
+    labels = _advance(labels, verify(materialize(across, "across"), docs, histograms))
 
     reach = of.join(labels, "rep").groupBy("node").agg(F.min("label").alias("component"))
     return sets.join(reach.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(

@@ -222,15 +222,15 @@ def test_components_of_a_crowded_key(spark, monkeypatch, rounds):
     assert by_row(got) == by_row(want)
 
 
-def test_texts_are_read_four_times(spark, monkeypatch):
-    """However many rounds of verification there are."""
-    passes = []
-    for name in ("survey", "index_entries", "written_sets"):
-        made = getattr(jaccard, name)
-        monkeypatch.setattr(jaccard, name, lambda docs, *a, name=name, made=made: passes.append(name) or made(docs, *a))
-    monkeypatch.setattr(jaccard, "ROUNDS", 4)
+def test_histograms_are_written_once(spark, monkeypatch):
+    """However many rounds there are; sets are made where pairs pass them."""
+    passes, rounds = [], []
+    made, verify = jaccard.set_parts, jaccard.verify
+    monkeypatch.setattr(jaccard, "set_parts", lambda *a: passes.append(a[-1]) or made(*a))
+    monkeypatch.setattr(jaccard, "verify", lambda *a: rounds.append(1) or verify(*a))
     jaccard.jaccard_components(make(spark, awkward())).collect()
-    assert passes == ["survey", "index_entries", "written_sets"]  # the index is read twice
+    assert len(rounds) > 2 and passes[0] == "histograms" and passes.count("histograms") == 1
+    assert len(passes[1:]) <= len(rounds) and set(passes[1:]) == {"sets"}
 
 
 def test_bitmaps_grow_with_the_ids():

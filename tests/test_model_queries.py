@@ -7,6 +7,8 @@ import pytest
 
 from beatline.plans import catalog
 
+from conftest import SF_SMALL
+
 WANT = {
     "fit_forest_classifier": {"num_trees": 50, "max_depth": 8},
     "fit_boosted_classifier": {"max_iter": 1500, "step_size": 0.05, "max_depth": 8, "max_leaves": 63, "patience": 50, "min_instances": 20,
@@ -41,3 +43,14 @@ def test_model_query_is_uncut(monkeypatch, key, fit):
     with pytest.raises(Fitted):
         catalog.QUERIES[key](None, "")
     assert {k: seen[k] for k in WANT[fit]} == WANT[fit]
+
+
+@pytest.mark.parametrize("key", ["fit_boosted_regressor", "loss_curve", "fitted_model_comparison"])
+def test_panel_is_built_once(spark, monkeypatch, key):
+    """The fit and its evaluation share one pass over the incidents."""
+    built, build = [], catalog.panel_from_incidents
+    monkeypatch.setattr(catalog, "panel_from_incidents", lambda *a: built.append(1) or build(*a))
+    monkeypatch.setattr(catalog, "BOOSTED_REGRESSOR", {**catalog.BOOSTED_REGRESSOR, "max_iter": 2})
+    monkeypatch.setattr(catalog, "_SAVED", {})
+    catalog.QUERIES[key](spark, SF_SMALL).collect()
+    assert len(built) == 1

@@ -1,5 +1,6 @@
 """Scalar column functions: hours, days, months, descriptions, numbers."""
 
+import re
 from fractions import Fraction
 
 from pyspark.sql import functions as F
@@ -7,6 +8,11 @@ from pyspark.sql import functions as F
 from beatline.functions import calendar as cal
 from beatline.functions.numeric import argmax_index, percent_of_count, round_half_even
 from beatline.functions.text import keyword_group
+from beatline.plans.features import cleaned_features
+from beatline.schema import FEATURES_V2
+from beatline.sources.fixture import fixture_incidents
+
+from conftest import SF_SMALL
 
 
 def test_rush_hour_bounds_inclusive(spark):
@@ -85,3 +91,19 @@ def test_round_half_even(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-0.5,), (2.4,)], "x double")
     got = [r.y for r in df.select(round_half_even("x", 0).alias("y")).collect()]
     assert got == [0.0, 2.0, 2.0, -0.0, 2.0]
+
+
+def test_feature_stage_stays_compilable(spark):
+    """HotSpot interprets methods over 8000 bytes: no stage that joins and adds the row features makes one."""
+    rows = cleaned_features(fixture_incidents(spark, SF_SMALL), 2, (1995, 2000))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        own = [c for c in FEATURES_V2 if not c.endswith("_encoded")]
+        df = rows.select("incident_key", "primary_type", "location_description", "description_grouped", *own)
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        code = debug.codegenString(df._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000

@@ -4,6 +4,8 @@ import inspect
 from types import SimpleNamespace
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.sql import functions as F
 
 from beatline.plans import catalog
 
@@ -54,3 +56,31 @@ def test_panel_is_built_once(spark, monkeypatch, key):
     monkeypatch.setattr(catalog, "_SAVED", {})
     catalog.QUERIES[key](spark, SF_SMALL).collect()
     assert len(built) == 1
+
+
+def test_forest_fit_keeps_its_rows_while_it_runs(spark, monkeypatch):
+    """The passes of the fit read stored columns; the trees are those of a fit on the plan itself."""
+    df = spark.range(0, 4000, 1, 5).select(
+        (F.col("id") % 13).alias("a"), (F.col("id") * 7 % 31).alias("b"), F.lit("unused").alias("c"),
+        (F.col("id") % 13 % 3).cast("int").alias("label"), (1 + F.col("id") % 2).cast("double").alias("w"))
+    seen, assemble = [], catalog.M.assemble
+
+    def record(rows, *args):
+        seen.append((rows, rows.storageLevel))
+        return assemble(rows, *args)
+
+    monkeypatch.setattr(catalog.M, "assemble", record)
+    model = catalog.M.fit_forest_classifier(df, ["a", "b"], "label", "w", num_trees=5, max_depth=4)
+    (rows, level), = seen
+    assert level.useDisk and not level.useMemory and rows.columns == ["a", "b", "label", "w"]
+    assert not rows.storageLevel.useDisk
+    plain = RandomForestClassifier(numTrees=5, maxDepth=4, seed=42, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+                                   minInstancesPerNode=20, maxBins=64, weightCol="w").fit(assemble(df, ["a", "b"]))
+    trees = lambda m: m.toDebugString.split("\n", 1)[1]
+    assert trees(model) == trees(plain)
+    df.persist()
+    try:
+        catalog.M.fit_forest_classifier(df, ["a", "b"], "label", num_trees=2, max_depth=2)
+        assert df.storageLevel.useMemory and not seen[1][1].useDisk
+    finally:
+        df.unpersist()
